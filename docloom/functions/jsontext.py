@@ -108,14 +108,16 @@ def clean_json(text: Column) -> Column:
 
 
 def settle_json(text: Column, truncated: Column, reserialise: bool) -> Column:
-    """Python's verdict for the texts given; pass null for texts that are already settled."""
-    return _settle_udf(reserialise)(text, truncated)
+    """Python's verdict for the texts given; pass null for texts that are already settled.
 
+    Marked as not deterministic so that filters on the verdict stay above it. Pushed down, they would
+    repeat the call and every expression that leads to it.
+    """
+    return _settle_udf(reserialise).asNondeterministic()(text, truncated)
 
-@pandas_udf(_RECHECKED)
-def recheck_json(text: pd.Series) -> pd.DataFrame:
-    """Texts Spark's parser turned down: plain JSON where Python accepts them, else Python's message."""
 
+@pandas_udf(_RECHECKED)
+def _recheck(text: pd.Series) -> pd.DataFrame:
     def verdict(body: str | None) -> tuple[str | None, str | None]:
         if body is None:
             return None, None
@@ -125,3 +127,11 @@ def recheck_json(text: pd.Series) -> pd.DataFrame:
             return None, str(problem)
 
     return pd.DataFrame([verdict(body) for body in text], columns=["json", "error"])
+
+
+def recheck_json(text: Column) -> Column:
+    """Texts Spark's parser turned down: plain JSON where Python accepts them, else Python's message.
+
+    Not deterministic for the same reason as ``settle_json``.
+    """
+    return _recheck.asNondeterministic()(text)

@@ -20,13 +20,7 @@ def strip(text: Column) -> Column:
 def strip_fences(text: Column) -> Column:
     """Drop a leading ``` or ```json mark and a trailing ``` mark; null becomes empty."""
     body = strip(F.coalesce(text, F.lit("")))
-    opened = (
-        F.when(body.startswith("```json"), F.substr(body, F.lit(8)))
-        .when(body.startswith("```"), F.substr(body, F.lit(4)))
-        .otherwise(body)
-    )
-    closed = F.when(opened.endswith("```"), F.substr(opened, F.lit(1), F.length(opened) - 3)).otherwise(opened)
-    return strip(closed)
+    return strip(F.regexp_replace(body, r"\A```(?:json)?|```\z", ""))
 
 
 def outer_braces(text: Column) -> Column:

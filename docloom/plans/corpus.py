@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.schemas import COVERAGE_TYPES
+from docloom.sources.tables import spread
 
 LINES_PER_PAGE = 5
 
@@ -24,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with file name, path and lines."""
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf"))
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", "lang", "source", "n_chars", "text",
         name.alias("file_name"),
         F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), name).alias("file_path"),
@@ -231,3 +232,92 @@ def coverage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").alias("coverage_confidence"),
         F.array(F.col("l_linenumber")).alias("coverage_page_reference"),
     )
+
+
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A header record per order, some without a name or with a policy type outside the enumeration."""
+    kind = F.element_at(
+        F.array(*map(F.lit, ("primary", "excess", "cyber", "unknown", "marine"))),
+        F.substring("o_orderpriority", 1, 1).cast("int"),
+    )
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("policy_id"),
+        *_order_file("o_orderkey")[:1],
+        F.concat(F.lit("Carrier "), F.col("o_orderstatus")).alias("carrier"),
+        F.when(F.col("o_custkey") % 20 != 0, F.concat(F.lit("Customer "), F.col("o_custkey").cast("string"))).alias("named_insured"),
+        F.col("o_orderkey").cast("string").alias("policy_number"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("effective_date"),
+        F.lit(None).cast("string").alias("expiration_date"),
+        kind.alias("policy_type"),
+        F.when(F.col("o_orderstatus") == "F", F.lit("claims-made")).when(F.col("o_orderstatus") == "O", F.lit("occurrence")).alias("claims_made_or_occurrence"),
+        (F.col("o_orderkey") % 7 + 1).cast("int").alias("page_count"),
+        F.lit("mock").alias("model_used"),
+        F.lit("2026-01-01T00:00:00").alias("processed_at"),
+        F.col("o_orderpriority").alias("declarations_source_text"),
+    )
+
+
+def _element_id() -> Column:
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return F.concat_ws("-", *[F.col(key).cast("string") for key in keys])
+
+
+def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A coverage element per order line."""
+    section = F.when(F.col("l_linestatus") == "F", F.lit("coverage")).when(F.col("l_linenumber") < 7, F.lit("endorsement")).otherwise(F.lit("annex"))
+    return table(spark, sf_dir, "lineitem").select(
+        _element_id().alias("element_id"),
+        F.col("l_orderkey").cast("string").alias("policy_id"),
+        F.when(F.col("l_linenumber") != 5, F.concat(F.lit("Part "), F.col("l_partkey").cast("string"))).alias("coverage_name"),
+        F.col("l_returnflag").alias("coverage_section"),
+        F.when(F.col("l_quantity") > 5, F.col("l_extendedprice")).alias("limit_amount"),
+        F.when(F.col("l_returnflag") == "N", F.col("l_extendedprice") * 2).alias("aggregate_limit"),
+        F.when(F.col("l_discount") > 0, F.col("l_quantity") * 100).alias("deductible_or_retention"),
+        F.when(F.col("l_returnflag") == "R", F.lit(True)).alias("is_sublimit"),
+        F.when(F.col("l_quantity") <= 5, F.lit("INHERIT_AGGREGATE")).alias("included_state"),
+        F.col("l_tax").alias("confidence"),
+        section.alias("section_type"),
+    )
+
+
+def citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A citation per order line; some passages are empty or short."""
+    passage = F.when(F.col("l_quantity") == 1, F.lit("")).otherwise(
+        F.concat(F.lit("Limit of insurance for part "), F.col("l_partkey").cast("string"), F.lit(" as scheduled with supplier "), F.col("l_suppkey").cast("string"))
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("C-"), _element_id()).alias("citation_id"),
+        _element_id().alias("element_id"),
+        F.col("l_linenumber").alias("page_number"),
+        F.col("l_returnflag").alias("section"),
+        passage.alias("passage"),
+    )
+
+
+def textual_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverages whose amounts are text, in nine wordings by ``l_partkey % 9``."""
+    wording = F.col("l_partkey") % 9
+    count, line = F.col("l_quantity").cast("int").cast("string"), F.col("l_linenumber").cast("string")
+    price = F.concat(F.lit("$"), F.format_number("l_extendedprice", 2))
+    limit = (
+        F.when(wording == 1, F.concat(F.lit("$"), count, F.lit("M xs $"), line, F.lit("M")))
+        .when(wording == 5, F.lit("Included"))
+        .when(wording == 7, F.concat(count, F.lit("K excess of "), line, F.lit("K")))
+        .when(wording == 8, F.lit("see schedule"))
+        .otherwise(price)
+    )
+    deductible = (
+        F.when(wording == 2, F.concat(count, F.lit(" hours")))
+        .when(wording == 3, F.concat(count, F.lit(" days")))
+        .when(wording == 4, F.lit("5%"))
+        .when(wording == 6, F.concat(F.lit("2% subject to $"), F.format_number(F.col("l_quantity") * 1000, 0), F.lit(" minimum")))
+        .when(wording == 8, F.concat(F.lit("$ "), count, F.lit(",000")))
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        *_order_file("l_orderkey"),
+        F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("coverage_name"),
+        limit.alias("limit_text"),
+        F.when(F.col("l_returnflag") == "N", price).alias("aggregate_text"),
+        deductible.alias("deductible_text"),
+        F.element_at(F.array(*map(F.lit, COVERAGE_TYPES)), F.col("l_linenumber") % 6 + 1).alias("coverage_type"),
+    )

@@ -24,6 +24,7 @@ def local_session(app_name: str = "docloom", cpus: int | str = "*", shuffle_part
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
     )

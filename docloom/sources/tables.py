@@ -20,3 +20,9 @@ def save_table(df: DataFrame, name: str, fmt: str = "parquet", overwrite_schema:
 def run_query(spark: SparkSession, sql: str, **params: object) -> DataFrame:
     """A query with named parameters (``:name``), so that values are never spliced into the text."""
     return spark.sql(sql, args=params)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input is a few small files; a large scan has more partitions and stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
