@@ -23,15 +23,31 @@ _SETTLED = StructType().add("json", StringType()).add("repaired", BooleanType())
 _RECHECKED = StructType().add("json", StringType()).add("error", StringType())
 
 
-def strict_json(text: Column) -> Column:
-    """True where the text is exactly one JSON value.
+def _mark(text: Column) -> Column:
+    return F.xxhash64(text).cast("string")
+
+
+def probe_json(text: Column) -> Column:
+    """The text parsed as the first item of an array whose second item is a hash of the text.
 
-    ``try_parse_json`` ignores what follows the first value. Parsing the text as the first item of an
-    array whose second item is a hash of the text shows that nothing else is there.
+    ``try_parse_json`` ignores what follows the first value; the hash in second place shows that the text
+    is exactly one value.
     """
-    mark = F.xxhash64(text).cast("string")
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    return F.coalesce(F.try_variant_get(wrapped, "$[1]", "string") == mark, F.lit(False))
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), _mark(text), F.lit('"]')))
+
+
+def probed_value(probe: Column, text: Column) -> Column:
+    """The parsed text, or null where it is not exactly one JSON value."""
+    return F.when(_is_sole_value(probe, text), F.try_variant_get(probe, "$[0]", "variant"))
+
+
+def _is_sole_value(probe: Column, text: Column) -> Column:
+    return F.coalesce(F.try_variant_get(probe, "$[1]", "string") == _mark(text), F.lit(False))
+
+
+def strict_json(text: Column) -> Column:
+    """True where Spark's parser finds the text to be exactly one JSON value."""
+    return _is_sole_value(probe_json(text), text)
 
 
 def close_truncated(text: str) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from docloom.functions.jsontext import recheck_json, strict_json
+from docloom.functions.jsontext import probe_json, probed_value, recheck_json
 from docloom.functions.text import page_close, page_open, strip
 from docloom.functions.variant import NUMBERS, at, kind, text_of, truthy
 from docloom.operators.pages import raw_text_row
@@ -46,7 +46,7 @@ def _text_items(document: Column) -> Column:
         usable,
         lambda e, i: F.struct(_page_number(e).alias("page"), i.alias("pos"), _content(e).alias("content")),
     )
-    return F.array_sort(F.filter(items, lambda item: item["content"] != ""))
+    return F.sort_array(F.filter(items, lambda item: item["content"] != ""))
 
 
 def _marked_text(items: Column) -> Column:
@@ -74,10 +74,14 @@ def assemble_elements(parsed: DataFrame) -> DataFrame:
         F.col("parsed_doc_json")
     )
     keys = ["file_name", "file_path"]
-    checked = parsed.select(*keys, source.alias("source")).withColumn("sound", strict_json(F.col("source")))
-    rechecked = checked.withColumn("second", recheck_json(F.when(~F.col("sound"), F.col("source"))))
-    parsed_doc = F.try_parse_json(F.when(F.col("sound"), F.col("source")).otherwise(F.col("second.json")))
-    documents = rechecked.select(*keys, F.col("second.error").alias("json_error"), parsed_doc.alias("doc"))
+    probed = parsed.select(*keys, source.alias("source")).withColumn("probe", probe_json(F.col("source")))
+    checked = probed.select(*keys, "source", probed_value(F.col("probe"), F.col("source")).alias("doc"))
+    rechecked = checked.withColumn("second", recheck_json(F.when(F.col("doc").isNull(), F.col("source"))))
+    documents = rechecked.select(
+        *keys,
+        F.col("second.error").alias("json_error"),
+        F.coalesce(F.col("doc"), F.try_parse_json("second.json")).alias("doc"),
+    )
     items = documents.select(
         *keys, "json_error", at(F.col("doc"), "$.error_status").alias("status"), _text_items(F.col("doc")).alias("items")
     )
@@ -86,5 +90,6 @@ def assemble_elements(parsed: DataFrame) -> DataFrame:
         .when(truthy(F.col("status")), F.concat(F.lit(PARSER_FAILURE), text_of(F.col("status"))))
         .when(F.coalesce(F.size("items"), F.lit(0)) <= 0, F.lit(NO_CONTENT))
     )
+    judged = items.select(*keys, "items", error.alias("error"))
     last_page = F.get(F.col("items"), F.size("items") - 1)["page"]
-    return items.select(*raw_text_row(_marked_text(F.col("items")), last_page, error))
+    return judged.select(*raw_text_row(_marked_text(F.col("items")), last_page, F.col("error")))

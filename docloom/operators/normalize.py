@@ -10,33 +10,69 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.schemas import CLAIMS_BASES, POLICY_TYPES
 
-# Wordings of amounts, layers, waiting periods and missing limits.
-AMOUNT = r"\$?\s*([0-9][0-9,]*(?:\.[0-9]+)?)(?:\s*([KMkm])\b)?"
+# Wordings of amounts, layers, waiting periods and missing limits. An amount is one group.
+NUMBER = r"([0-9][0-9,]*(?:\.[0-9]+)?(?:\s*[KMkm]\b)?)"
+AMOUNT = r"\$?\s*" + NUMBER
 LAYER = AMOUNT + r"\s+(?:excess of|xs|x/s)\s+" + AMOUNT
+DOLLARS = r"\$\s*" + NUMBER
 WAITING = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*(hour|day)s?\s*$"
-DOLLARS = r"\$\s*([0-9][0-9,]*(?:\.[0-9]+)?)(?:\s*([KMkm])\b)?"
 SUBLIMIT_TYPES = ("sublimit", "extension", "special limit")
 # Lower bounds of the confidence bands.
 BANDS = ((0.95, "explicit"), (0.75, "clear"), (0.50, "partial"))
 
 
-def _amount(text: Column, pattern: str, first_group: int = 1) -> Column:
-    digits = F.regexp_replace(F.regexp_extract(text, pattern, first_group), ",", "").try_cast("double")
-    unit = F.upper(F.regexp_extract(text, pattern, first_group + 1))
-    return digits * F.when(unit == "M", 1e6).when(unit == "K", 1e3).otherwise(1.0)
+def _group(text: Column, pattern: str, group: int) -> Column:
+    """A group of the pattern; null where nothing matches, as casting an empty text is slow."""
+    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+
+
+def _amount(text: Column, pattern: str, group: int = 1) -> Column:
+    """The amount in a group of the pattern, with its unit written as an exponent for the cast."""
+    digits = F.translate(F.upper(_group(text, pattern, group)), ", \t\n\r", "")
+    return F.replace(F.replace(digits, F.lit("M"), F.lit("E6")), F.lit("K"), F.lit("E3")).try_cast("double")
 
 
 def money(text: Column) -> Column:
     """A plain amount such as ``$1,250.50`` or ``5M``; null for anything else."""
-    return F.when(text.rlike(rf"^\s*{AMOUNT}\s*$"), _amount(text, AMOUNT))
+    return _amount(text, rf"^\s*{AMOUNT}\s*$")
 
 
 def waiting_period(text: Column, days_as: str = "number") -> Column:
     """``72 hours`` as 72. Days stay a bare number, or become hours with ``days_as="hours"``."""
-    number = F.regexp_extract(text, WAITING, 1).try_cast("double")
+    number = _group(text, WAITING, 1).try_cast("double")
     if days_as == "hours":
         number = number * F.when(F.regexp_extract(text, WAITING, 2) == "day", 24.0).otherwise(1.0)
-    return F.when(text.rlike(WAITING), number)
+    return number
+
+
+def _read_amounts(raw: DataFrame, days_as: str) -> DataFrame:
+    """Each reading of the texts once, as a column, so that values and rules can share it."""
+    limit, deductible = F.col("limit_text"), F.col("deductible_text")
+    read = raw.select("*", _group(limit, LAYER, 0).alias("layer"), F.coalesce(deductible.contains("%"), F.lit(False)).alias("percent"))
+    return read.select(
+        "*",
+        _amount(F.col("layer"), LAYER).alias("layer_limit"),
+        _amount(F.col("layer"), LAYER, 2).alias("attachment"),
+        F.when(F.col("layer").isNull(), money(limit)).alias("plain_limit"),
+        F.when(~F.col("percent"), waiting_period(deductible, days_as)).alias("waiting"),
+        F.when(F.col("percent"), _amount(deductible, DOLLARS)).otherwise(money(deductible)).alias("priced"),
+    )
+
+
+def _rules() -> list[tuple[Column, str]]:
+    limit = F.coalesce("layer_limit", "plain_limit")
+    return [
+        (F.col("plain_limit").isNotNull(), "money"),
+        (F.col("layer_limit").isNotNull(), "layer"),
+        (F.col("waiting").isNotNull(), "waiting"),
+        (F.col("percent") & F.col("priced").isNull(), "percent_only"),
+        (limit.isNull(), "no_limit"),
+        (_is_sublimit(), "sublimit"),
+    ]
+
+
+def _is_sublimit() -> Column:
+    return F.coalesce(F.lower("coverage_type").isin(*SUBLIMIT_TYPES), F.lit(False))
 
 
 def normalize_coverages(raw: DataFrame, days_as: str = "number") -> DataFrame:
@@ -44,33 +80,14 @@ def normalize_coverages(raw: DataFrame, days_as: str = "number") -> DataFrame:
 
     Reads limit_text, aggregate_text, deductible_text and coverage_type.
     """
-    limit, deductible = F.col("limit_text"), F.col("deductible_text")
-    layered = F.coalesce(limit.rlike(LAYER), F.lit(False))
-    percent = F.coalesce(deductible.contains("%"), F.lit(False))
-    priced_percent = percent & deductible.rlike(DOLLARS)
-    waiting = F.coalesce(deductible.rlike(WAITING), F.lit(False))
-    limit_amount = F.when(layered, _amount(limit, LAYER)).otherwise(money(limit))
-    retention = (
-        F.when(layered, _amount(limit, LAYER, 3))
-        .when(waiting, waiting_period(deductible, days_as))
-        .when(priced_percent, _amount(deductible, DOLLARS))
-        .when(~percent, money(deductible))
-    )
-    rules = [
-        (~layered & money(limit).isNotNull(), "money"),
-        (layered, "layer"),
-        (waiting, "waiting"),
-        (percent & ~priced_percent, "percent_only"),
-        (limit_amount.isNull(), "no_limit"),
-        (F.col("coverage_type").isin(*SUBLIMIT_TYPES), "sublimit"),
-    ]
-    return raw.select(
-        "*",
-        limit_amount.alias("limit_amount"),
+    read = _read_amounts(raw, days_as)
+    return read.select(
+        *raw.columns,
+        F.coalesce("layer_limit", "plain_limit").alias("limit_amount"),
         money(F.col("aggregate_text")).alias("aggregate_limit"),
-        retention.alias("deductible_or_retention"),
-        F.coalesce(F.lower("coverage_type").isin(*SUBLIMIT_TYPES), F.lit(False)).alias("is_sublimit"),
-        F.array_compact(F.array(*[F.when(used, F.lit(name)) for used, name in rules])).alias("rules"),
+        F.coalesce("attachment", "waiting", "priced").alias("deductible_or_retention"),
+        _is_sublimit().alias("is_sublimit"),
+        F.array_compact(F.array(*[F.when(used, F.lit(name)) for used, name in _rules()])).alias("rules"),
     )
 
 
@@ -85,8 +102,12 @@ def with_included_state(coverages: DataFrame) -> DataFrame:
     )
 
 
-def rule_report(normalized: DataFrame) -> DataFrame:
-    return normalized.select(F.explode("rules").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("coverage_count"))
+def rule_report(raw: DataFrame, days_as: str = "number") -> DataFrame:
+    """Coverages per rule that applied, counted in one pass without a row per use."""
+    rules = _rules()
+    counts = _read_amounts(raw, days_as).agg(*[F.count_if(used).alias(name) for used, name in rules])
+    pairs = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(name).alias("coverage_count")) for _, name in rules])
+    return counts.select(F.inline(pairs)).filter(F.col("coverage_count") > 0)
 
 
 def confidence_band(confidence: Column) -> Column:

@@ -25,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents with file name, path and lines."""
     name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf"))
-    return spread(table(spark, sf_dir, "documents")).select(
+    columns = ["doc_id", "text", "lang", "source", "n_chars"]
+    return spread(table(spark, sf_dir, "documents").select(*columns)).select(
         "doc_id", "lang", "source", "n_chars", "text",
         name.alias("file_name"),
         F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), name).alias("file_path"),
@@ -313,7 +314,10 @@ def textual_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(wording == 6, F.concat(F.lit("2% subject to $"), F.format_number(F.col("l_quantity") * 1000, 0), F.lit(" minimum")))
         .when(wording == 8, F.concat(F.lit("$ "), count, F.lit(",000")))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"
+    )
+    return spread(lines).select(
         *_order_file("l_orderkey"),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("coverage_name"),
         limit.alias("limit_text"),

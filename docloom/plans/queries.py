@@ -320,7 +320,7 @@ def normalized_coverages(spark, sf_dir):
 
 @_query
 def normalization_report(spark, sf_dir):
-    return normalize.rule_report(normalize.normalize_coverages(corpus.textual_coverages(spark, sf_dir), "hours"))
+    return normalize.rule_report(corpus.textual_coverages(spark, sf_dir), "hours")
 
 
 @_query
