@@ -17,10 +17,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def strip_fences(text: Column) -> Column:
-    """Drop a leading ``` or ```json mark and a trailing ``` mark; null becomes empty."""
-    body = strip(F.coalesce(text, F.lit("")))
-    return strip(F.regexp_replace(body, r"\A```(?:json)?|```\z", ""))
+def drop_fences(stripped: Column) -> Column:
+    """A stripped text without a leading ``` or ```json mark and a trailing ``` mark."""
+    fenced = stripped.startswith("```") | stripped.endswith("```")
+    bare = strip(F.regexp_replace(stripped, r"\A```(?:json)?|```\z", ""))
+    return F.when(fenced, bare).otherwise(stripped)
 
 
 def outer_braces(text: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.functions.jsontext import clean_json, settle_json
-from docloom.functions.text import strip_fences
+from docloom.functions.text import drop_fences, strip
 from docloom.functions.variant import NUMBERS, at, kind, python_name, text_of, truthy
 from docloom.schemas import MODEL_OUTPUT
 
@@ -119,8 +119,9 @@ def clean_responses(responses: DataFrame, model_name: str, processed_at: str, ru
         F.coalesce(cut_problem, F.col("unusable")).alias("use_problem"),
         F.when(no_envelope.isNull(), F.col("content")).alias("content"),
     )
-    bodies = read.withColumn(
-        "body", F.when(F.col("read_problem").isNull() & F.col("use_problem").isNull(), strip_fences(F.col("content")))
+    usable = F.col("read_problem").isNull() & F.col("use_problem").isNull()
+    bodies = read.withColumn("stripped", F.when(usable, strip(F.coalesce("content", F.lit(""))))).withColumn(
+        "body", drop_fences(F.col("stripped"))
     )
     settled = bodies.withColumn("clean", clean_json(F.col("body"))).withColumn(
         "other",

@@ -5,7 +5,7 @@ import json
 import pytest
 
 from docloom.functions.jsontext import close_truncated
-from docloom.functions.text import ascii_json_length, strip, strip_fences
+from docloom.functions.text import ascii_json_length, drop_fences, strip
 from docloom.operators.responses import clean_responses, model_output
 from docloom.schemas import MODEL_OUTPUT, RESPONSES
 from pyspark.sql import functions as F
@@ -164,8 +164,27 @@ def test_failed_calls_stay_rows(spark):
 def test_string_helpers_match_python(spark):
     samples = ["\x1c a b \x85", "", " \n", "é\"\\\n\x7f\x00", "😀 x", "```json {} ```", "a``````", "plain"]
     df = spark.createDataFrame([(s,) for s in samples], "s string")
-    out = df.select("s", strip(F.col("s")).alias("t"), ascii_json_length(F.col("s")).alias("n"), strip_fences(F.col("s")).alias("f"))
+    out = df.select("s", strip(F.col("s")).alias("t"), ascii_json_length(F.col("s")).alias("n"), drop_fences(strip(F.col("s"))).alias("f"))
     for row in out.collect():
         assert row.t == row.s.strip()
         assert row.n == len(json.dumps(row.s))
     assert [r.f for r in out.collect()][5:7] == ["{}", "a```"]
+
+
+def test_spark_and_python_agree_on_what_is_json(spark):
+    """Texts settled by Spark's parser come out as Python alone would settle them."""
+    import random
+
+    from docloom.functions.jsontext import _settle_one, clean_json
+
+    pick = random.Random(5)
+    pieces = ["{", "}", "[", "]", '"', ":", ",", " ", "\n", "a", "1", "-0", "1.5e3", "NaN", "null", "true", "\\", "\\u0041", '"k":', '{"k":1}', "\x01", "é"]
+    texts = ["".join(pick.choice(pieces) for _ in range(pick.randrange(1, 9))) for _ in range(6000)]
+    whole = json.dumps({"policy": {"n": 'a"b\\c'}, "coverages": [{"x": [1, 2.5, None, True], "y": "]}"}] * 2})
+    texts += [whole[: pick.randrange(1, len(whole))] + pick.choice(["", "}", "]}", " z", '"}']) for _ in range(1500)]
+    texts = [text.strip() for text in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    natively = {r.i: r.c for r in df.select("i", clean_json(F.col("t")).alias("c")).collect() if r.c is not None}
+    assert len(natively) > 300
+    for i, found in natively.items():
+        assert _settle_one(texts[i], False, False) == (found, False, None), texts[i]
