@@ -38,10 +38,11 @@ def dashboard_joined(policy_table: DataFrame, coverage_table: DataFrame) -> Data
 
 
 def dashboard_from_output(parsed: DataFrame) -> DataFrame:
-    """The dashboard straight from parsed model output: one scan and one parse feed both sides.
+    """The dashboard straight from parsed model output, without a coverage table.
 
-    Each document counts its own coverages inside the row. Counts are then summed per group of equal
-    policies and per key; only these sums are joined.
+    Each document counts its own coverages inside the row. The counts are then summed per key, the equal
+    policies per group, and only these sums are joined. Both sides read the output, one its policies and
+    one its coverages, so it should be a saved table.
     """
     named = F.size(
         F.filter(F.coalesce("extracted.coverages", F.array()), lambda c: c["coverage_name"].isNotNull())
@@ -50,10 +51,9 @@ def dashboard_from_output(parsed: DataFrame) -> DataFrame:
         F.col(f"extracted.policy.{'confidence' if name == 'policy_confidence' else name}").alias(name)
         for name in COLUMNS[2:]
     ]
-    rows = parsed.select(*KEYS, *policy, named.cast("long").alias("named"))
-    groups = rows.groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("copies"), F.sum("named").alias("named"))
-    totals = groups.groupBy(*KEYS).agg(F.sum("named").alias("total"))
-    joined = groups.drop("named").join(totals, KEYS, "left")
+    copies = parsed.select(*KEYS, *policy).groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
+    totals = parsed.select(*KEYS, named.alias("named")).groupBy(*KEYS).agg(F.sum("named").alias("total"))
+    joined = copies.join(totals, KEYS, "left")
     return joined.select(*COLUMNS, (F.col("copies") * F.coalesce("total", F.lit(0))).alias("coverage_count"))
 
 

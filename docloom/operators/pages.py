@@ -1,6 +1,6 @@
 """Page texts to one marked text per document.
 
-Two input shapes: an array of pages in the document's row (no shuffle), and a page table (one shuffle).
+Two input shapes: an array of pages in the document's row (no shuffle), and a page table.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from docloom.functions.text import page_close, page_open, strip
 
+# Pages joined in one task before the document is put together.
+SPAN = 256
 # Shortest possible block: two newlines, both markers and a one-digit page number.
 _LEAST_BLOCK = len("\n\n=== PAGE 1 START ===\n") + len("\n=== PAGE 1 END ===")
 
@@ -41,32 +43,49 @@ def assemble_page_arrays(documents: DataFrame) -> DataFrame:
     return documents.select(*raw_text_row(text, F.size("pages"), F.col("error")))
 
 
-def assemble_pages(pages: DataFrame, max_chars: int | None = None) -> DataFrame:
+def _in_order(entries: str) -> Column:
+    """Structs of a position and a text, joined by position."""
+    return F.array_join(F.transform(F.sort_array(entries), lambda item: item["text"]), "\n")
+
+
+def assemble_pages(pages: DataFrame) -> DataFrame:
     """A page table with pages 1..n per document to raw-text rows.
 
-    With ``max_chars`` the text is the exact first part of the whole text. A page with number ``p``
-    cannot start before character ``(p - 1) * least block size``, so later pages are only counted and
-    never collected: what one group holds is bounded by the cap, however large the document is.
-    Without it, a group holds one document's whole text, which has to fit in one cell in any case.
+    Pages are first joined in spans of a fixed number of pages, so that sorting and joining the pages of a
+    very long document is shared by many tasks. The last step meets one text per span, and its result is
+    the document's text cell.
+    """
+    block = page_block(F.col("page_no"), F.col("page_text"), F.col("error"))
+    spans = (
+        pages.groupBy("file_name", "file_path", F.floor((F.col("page_no") - 1) / SPAN).alias("span"))
+        .agg(F.count(F.lit(1)).alias("span_pages"), F.collect_list(F.struct("page_no", block.alias("text"))).alias("blocks"))
+        .select("file_name", "file_path", "span", "span_pages", _in_order("blocks").alias("text"))
+    )
+    documents = spans.groupBy("file_name", "file_path").agg(
+        F.sum("span_pages").alias("page_total"), F.collect_list(F.struct("span", "text")).alias("spans")
+    )
+    return documents.select(*raw_text_row(strip(_in_order("spans")), F.col("page_total"), F.lit(None).cast("string")))
+
+
+def assemble_page_starts(pages: DataFrame, max_chars: int) -> DataFrame:
+    """As ``assemble_pages``, with the text cut to the exact first ``max_chars`` characters that a request sends.
+
+    A page with number ``p`` cannot start before character ``(p - 1) * least block size``, so later pages
+    are only counted and never collected: what one group holds is bounded by the cap, however large the
+    document is.
     """
+    # Two characters are lost at the front by the strip.
+    reach = max_chars + 2
     block = page_block(F.col("page_no"), F.col("page_text"), F.col("error"))
-    entry = F.struct(F.col("page_no").alias("no"), block.alias("block"))
-    if max_chars is not None:
-        # Two characters are lost at the front by the strip.
-        reach = max_chars + 2
-        entry = F.when(
-            F.col("page_no") <= reach // _LEAST_BLOCK + 1,
-            F.struct(F.col("page_no").alias("no"), F.substr(block, F.lit(1), F.lit(reach)).alias("block")),
-        )
+    entry = F.when(
+        F.col("page_no") <= reach // _LEAST_BLOCK + 1,
+        F.struct("page_no", F.substr(block, F.lit(1), F.lit(reach)).alias("text")),
+    )
     grouped = pages.groupBy("file_name", "file_path").agg(
-        F.count(F.lit(1)).alias("page_total"), F.collect_list(entry).alias("entries")
+        F.count(F.lit(1)).alias("page_total"), F.collect_list(entry).alias("blocks")
     )
-    joined = F.array_join(F.transform(F.array_sort("entries"), lambda item: item["block"]), "\n")
-    if max_chars is None:
-        text = strip(joined)
-    else:
-        # The end of the whole text is a marker, so only a text within the cap ends here.
-        text = F.substr(F.ltrim(joined, F.lit("\n")), F.lit(1), F.lit(max_chars))
+    # A text within the cap ends in a marker, so only its front needs stripping.
+    text = F.substr(F.ltrim(_in_order("blocks"), F.lit("\n")), F.lit(1), F.lit(max_chars))
     return grouped.select(*raw_text_row(text, F.col("page_total"), F.lit(None).cast("string")))
 
 

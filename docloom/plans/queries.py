@@ -10,6 +10,7 @@ from docloom.operators import compare, contracts, dashboard, entities, normalize
 from docloom.operators.completion import complete_mock, complete_replay
 from docloom.operators.elements import assemble_elements
 from docloom.plans import corpus
+from docloom.session import stage
 from docloom.sources.files import list_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,7 +55,7 @@ def page_text_arrays(spark, sf_dir):
 
 @_query
 def page_text_pages(spark, sf_dir):
-    return pages.assemble_pages(corpus.page_table(spark, sf_dir), requests.MAX_CHARS)
+    return pages.assemble_pages(corpus.page_table(spark, sf_dir))
 
 
 @_query
@@ -88,8 +89,8 @@ def request_build(spark, sf_dir):
 
 @_query
 def request_variants(spark, sf_dir):
-    texts = pages.successful(pages.assemble_page_arrays(corpus.page_arrays(spark, sf_dir)))
-    return _request_summary(requests.build_requests(texts, requests.PROMPTS, rules="v2"))
+    starts = pages.assemble_page_starts(corpus.page_table(spark, sf_dir), requests.MAX_CHARS)
+    return _request_summary(requests.build_requests(pages.successful(starts), requests.PROMPTS, rules="v2"))
 
 
 # Completion and cleaning
@@ -216,7 +217,9 @@ def output_count(spark, sf_dir):
 
 @_query
 def dashboard_from_output(spark, sf_dir):
-    return dashboard.dashboard_from_output(_parsed(spark, sf_dir, "v1"))
+    """Two parts of the output meet in a join, so it is saved first, as in a whole run."""
+    output = stage(responses.model_output(_cleaned(spark, sf_dir, "v1")), "output")
+    return dashboard.dashboard_from_output(entities.parse_output(output))
 
 
 def _view(spark, sf_dir):

@@ -13,8 +13,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
-    # One row may carry a whole document, so Arrow batches are kept short.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 

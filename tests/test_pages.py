@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators.elements import assemble_elements
-from docloom.operators.pages import assemble_page_arrays, assemble_pages, every_document, successful
+from docloom.operators.pages import SPAN, assemble_page_arrays, assemble_page_starts, assemble_pages, every_document, successful
 from docloom.schemas import PAGE_TABLE, RAW_TEXT
 
 
@@ -86,7 +86,7 @@ DOCS = {
     "two.pdf": [("a", None), (None, None)],
     "bad.pdf": [("", "bad")],
     "long.pdf": [("x" * n, None) for n in (0, 3, 50, 1, 0, 900, 2)],
-    "many.pdf": [("", None)] * 40,
+    "many.pdf": [("", None)] * (2 * SPAN + 3),
 }
 
 
@@ -106,7 +106,7 @@ def test_page_table_and_arrays_agree(spark):
 @pytest.mark.parametrize("cap", [1, 10, 41, 42, 43, 100, 500, 1000, 100000])
 def test_capped_page_table_is_an_exact_prefix(spark, cap):
     rows = [(n, f"/p/{n}", i, t, e) for n, pages in DOCS.items() for i, (t, e) in enumerate(pages, 1)]
-    result = assemble_pages(spark.createDataFrame(rows, PAGE_TABLE), max_chars=cap).collect()
+    result = assemble_page_starts(spark.createDataFrame(rows, PAGE_TABLE), cap).collect()
     assert {r.file_name: (r.policy_text, r.page_count) for r in result} == {
         name: (marked(pages)[:cap], len(pages)) for name, pages in DOCS.items()
     }
