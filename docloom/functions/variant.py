@@ -27,10 +27,14 @@ _PYTHON_NAME = {
 }
 
 
+def sql_map(words: dict[str, str]) -> Column:
+    """A map of text literals."""
+    return F.expr("map(" + ", ".join(f"'{key}', '{word}'" for key, word in words.items()) + ")")
+
+
 def python_name(value: Column) -> Column:
     """The Python type name of a JSON value; an absent value counts as ``NoneType``."""
-    pairs = [F.lit(part) for pair in _PYTHON_NAME.items() for part in pair]
-    return F.element_at(F.create_map(*pairs), F.coalesce(kind(value), F.lit("VOID")))
+    return F.element_at(sql_map(_PYTHON_NAME), F.coalesce(kind(value), F.lit("VOID")))
 
 
 # JSON texts of the values Python counts as false, each after its kind.
@@ -42,4 +46,5 @@ _FALSE = (
 
 def truthy(value: Column) -> Column:
     """Python's truth value of a JSON value; false where absent or null."""
-    return F.coalesce(~F.concat(kind(value), F.lit(" "), text_of(value)).isin(*_FALSE), F.lit(False))
+    false_texts = F.expr("array(" + ", ".join(f"'{text}'" for text in _FALSE) + ")")
+    return F.coalesce(~F.array_contains(false_texts, F.concat(kind(value), F.lit(" "), text_of(value))), F.lit(False))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.functions.variant import sql_map
 from docloom.schemas import CLAIMS_BASES, POLICY_TYPES
 
 # Wordings of amounts, layers, waiting periods and missing limits. An amount is one group.
@@ -151,9 +152,8 @@ _CLAIMS_WORDS = {word: word for word in CLAIMS_BASES} | {"occurrence-based": "oc
 
 
 def _to_word(text: Column, words: dict[str, str]) -> Column:
-    lookup = F.create_map(*[F.lit(part) for pair in words.items() for part in pair])
     key = F.regexp_replace(F.lower(F.trim(text)), "[^a-z]+", "-")
-    return F.coalesce(F.try_element_at(lookup, key), F.lit("unknown"))
+    return F.coalesce(F.try_element_at(sql_map(words), key), F.lit("unknown"))
 
 
 def normalize_enums(policies: DataFrame) -> DataFrame:

@@ -28,15 +28,19 @@ def _no_attribute(owner: Column, attribute: str) -> Column:
     return F.concat(F.lit("'"), python_name(owner), F.lit(f"' object has no attribute '{attribute}'"))
 
 
-def _fallback(doc: Column) -> Column:
-    """The first usable value besides the message content: a string, or a list's first string or text."""
-    found = []
-    for key in FALLBACK_KEYS:
-        for path, nested in ((key, False), (f"{key}[0]", False), (f"{key}[0].text", True), (f"{key}[0].content", True)):
-            found.append(F.struct(at(doc, f"$.{path}").alias("value"), F.lit(nested).alias("nested")))
+def _fallback() -> Column:
+    """The first usable value of ``doc`` besides the message content: a string, or a list's first string or text."""
+    paths = [
+        (key + part, nested)
+        for key in FALLBACK_KEYS
+        for part, nested in (("", False), ("[0]", False), ("[0].text", True), ("[0].content", True))
+    ]
+    found = ", ".join(
+        f"named_struct('value', try_variant_get(doc, '$.{path}', 'variant'), 'nested', {nested})" for path, nested in paths
+    )
     usable = F.filter(
-        F.array(*found),
-        lambda c: (c["nested"] & truthy(c["value"])) | (~c["nested"] & (kind(c["value"]) == "STRING")),
+        F.expr(f"array({found})"),
+        lambda c: F.when(c["nested"], truthy(c["value"])).otherwise(kind(c["value"]) == "STRING"),
     )
     return F.get(usable, F.lit(0))["value"]
 
@@ -44,7 +48,7 @@ def _fallback(doc: Column) -> Column:
 def _content_v1(envelopes: DataFrame) -> DataFrame:
     doc, picked = F.col("doc"), F.col("picked")
     main = envelopes.withColumn("main", at(doc, "$.choices[0].message.content"))
-    chosen = main.withColumn("picked", F.when(truthy(F.col("main")), F.col("main")).otherwise(_fallback(doc)))
+    chosen = main.withColumn("picked", F.when(truthy(F.col("main")), F.col("main")).otherwise(_fallback()))
     # The whole response stands in when nothing else is there.
     content = F.when(picked.isNull(), F.col("response_json")).otherwise(text_of(picked))
     return chosen.select(

@@ -89,51 +89,50 @@ def parsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("file_name", "file_path", parsed.alias("parsed_doc_json"))
 
 
-def _policy(extra: bool) -> Column:
-    fields = [
-        F.concat(F.lit("PN-"), F.col("doc_id").cast("string")).alias("policy_number"),
-        F.col("source").alias("carrier"),
-        F.concat(F.lit("Insured "), F.col("lang")).alias("named_insured"),
-        F.lit("2025-01-01").alias("effective_date"),
-        F.lit("2026-01-01").alias("expiration_date"),
-        F.when(F.col("doc_id") % 3 == 0, F.lit("Primary")).otherwise(F.lit("Excess")).alias("policy_type"),
-        F.when(F.col("doc_id") % 4 != 0, F.lit("Occurrence")).alias("claims_made_or_occurrence"),
-        (F.col("n_chars") % 101 / 100.0).alias("confidence"),
-        F.array(F.lit(1)).alias("page_reference"),
-    ]
-    return F.struct(*fields, *([F.lit("kept apart").alias("remark")] if extra else []))
-
-
-def _coverage(line: Column, i: Column) -> Column:
-    size = F.length(line)
-    return F.struct(
-        F.when(i % 11 != 10, line).alias("coverage_name"),
-        F.col("lang").alias("coverage_section"),
-        F.element_at(F.array(*map(F.lit, COVERAGE_TYPES)), i % 6 + 1).alias("coverage_type"),
-        (size * 1000.0).alias("limit_amount"),
-        F.when(i % 2 == 0, size * 2000.0).alias("aggregate_limit"),
-        F.when(i % 3 == 0, size * 10.0).alias("deductible_or_retention"),
-        (i % 6 == 1).alias("is_sublimit"),
-        (size % 101 / 100.0).alias("confidence"),
-        F.array(F.floor(i / LINES_PER_PAGE).cast("int") + 1).alias("page_reference"),
-    )
-
-
-def _exposure(kind: str, value: Column) -> Column:
-    return F.struct(
-        F.lit(kind).alias("exposure_type"),
-        value.cast("double").alias("exposure_value"),
-        F.lit("document").alias("basis"),
-        F.lit(0.5).alias("confidence"),
-        F.array(F.lit(1)).alias("page_reference"),
-    )
-
-
-def _message(content: Column, finish: str, tokens: int) -> Column:
-    choice = F.struct(F.lit(finish).alias("finish_reason"), F.struct(content.alias("content")).alias("message"))
-    return F.to_json(
-        F.struct(F.array(choice).alias("choices"), F.struct(F.lit(tokens).alias("completion_tokens")).alias("usage"))
-    )
+_COVERAGE_TYPES = "array(" + ", ".join(f"'{kind}'" for kind in COVERAGE_TYPES) + ")"
+_POLICY = """
+    'policy_number', concat('PN-', doc_id), 'carrier', source, 'named_insured', concat('Insured ', lang),
+    'effective_date', '2025-01-01', 'expiration_date', '2026-01-01',
+    'policy_type', if(doc_id % 3 = 0, 'Primary', 'Excess'),
+    'claims_made_or_occurrence', if(doc_id % 4 <> 0, 'Occurrence', NULL),
+    'confidence', n_chars % 101 / 100.0D, 'page_reference', array(1)"""
+_COVERAGES = f"""transform(lines, (line, i) -> named_struct(
+    'coverage_name', if(i % 11 <> 10, line, NULL), 'coverage_section', lang,
+    'coverage_type', element_at({_COVERAGE_TYPES}, i % 6 + 1),
+    'limit_amount', length(line) * 1000.0D,
+    'aggregate_limit', if(i % 2 = 0, length(line) * 2000.0D, NULL),
+    'deductible_or_retention', if(i % 3 = 0, length(line) * 10.0D, NULL),
+    'is_sublimit', i % 6 = 1, 'confidence', length(line) % 101 / 100.0D,
+    'page_reference', array(i div {LINES_PER_PAGE} + 1)))"""
+
+
+def _exposure(kind: str, value: str) -> str:
+    return f"""named_struct('exposure_type', '{kind}', 'exposure_value', double({value}), 'basis', 'document',
+        'confidence', 0.5D, 'page_reference', array(1))"""
+
+
+def _message(content: str, finish: str, tokens: int) -> str:
+    choice = f"named_struct('finish_reason', '{finish}', 'message', named_struct('content', {content}))"
+    return f"to_json(named_struct('choices', array({choice}), 'usage', named_struct('completion_tokens', {tokens})))"
+
+
+_CUT = f"shape IN ({CUT_LENGTH}, {CUT_IN_STRING}, {CUT_STOPPED}, {CUT_MAX_TOKENS}, {CUT_FULL_BUDGET})"
+_CONTENT = f"""CASE
+    WHEN shape = {FENCED} THEN concat('```json\\n', head, body, tail, '\\n```')
+    WHEN shape = {WRAPPED} THEN concat('The result:\\n', head, body, tail, '\\nThat is all.')
+    WHEN shape = {CUT_IN_STRING} THEN concat(head, '"coverages":[{{"coverage_name":"cut of')
+    WHEN {_CUT} THEN concat(head, body, ',')
+    WHEN shape = {EXTRA_KEYS} THEN concat('{{"notes":["none"],', substr(head, 2), body, tail)
+    WHEN shape <> {PARTS} THEN concat(head, body, tail) END"""
+_PARTS = "array(named_struct('type', 'text', 'text', head), named_struct('type', 'text', 'text', concat(body, tail)))"
+_RESPONSE = f"""CASE
+    WHEN shape = {NO_CHOICES} THEN '{{"error": "no capacity"}}'
+    WHEN shape = {OUTPUT_TEXT} THEN to_json(named_struct('output_text', content))
+    WHEN shape = {PARTS} THEN {_message(_PARTS, "stop", 900)}
+    WHEN shape IN ({CUT_LENGTH}, {CUT_IN_STRING}) THEN {_message("content", "length", 16000)}
+    WHEN shape = {CUT_MAX_TOKENS} THEN {_message("content", "max_tokens", 900)}
+    WHEN shape = {CUT_FULL_BUDGET} THEN {_message("content", "stop", 15900)}
+    ELSE {_message("content", "stop", 900)} END"""
 
 
 def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,54 +140,29 @@ def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The coverages are the lines of the document, so the JSON grows with the whole text.
     """
-    docs = documents(spark, sf_dir).withColumn("shape", (F.col("doc_id") % 12).cast("int"))
-    exposures = F.when(F.col("doc_id") % 5 == 0, F.array()).otherwise(
-        F.array(_exposure("characters", F.col("n_chars")), _exposure("lines", F.size("lines")))
-    )
-    shape = F.col("shape")
-    policy = F.when(shape == EXTRA_KEYS, F.to_json(_policy(True))).otherwise(F.to_json(_policy(False)))
-    built = docs.select(
-        "file_name", "file_path", "n_chars", "shape", policy.alias("policy"), exposures.alias("exposures"),
-        F.transform("lines", _coverage).alias("items"),
-    )
-    cut = shape.isin(CUT_LENGTH, CUT_IN_STRING, CUT_STOPPED, CUT_MAX_TOKENS, CUT_FULL_BUDGET)
-    items = F.when(cut, F.concat(F.lit("["), F.to_json(F.col("items")[0]))).otherwise(F.to_json("items"))
-    texts = built.select(
-        "file_name", "file_path", "n_chars", "shape",
-        F.concat(F.lit('{"policy":'), F.col("policy"), F.lit(",")).alias("head"),
-        F.concat(F.lit('"coverages":'), items).alias("body"),
-        F.concat(F.lit(',"exposures":'), F.to_json("exposures"), F.lit("}")).alias("tail"),
-    )
-    head, whole = F.col("head"), F.concat("head", "body", "tail")
-    content = (
-        F.when(shape == FENCED, F.concat(F.lit("```json\n"), whole, F.lit("\n```")))
-        .when(shape == WRAPPED, F.concat(F.lit("The result:\n"), whole, F.lit("\nThat is all.")))
-        .when(shape == CUT_IN_STRING, F.concat(head, F.lit('"coverages":[{"coverage_name":"cut of')))
-        .when(cut, F.concat("head", "body", F.lit(",")))
-        .when(shape == EXTRA_KEYS, F.concat(F.lit('{"notes":["none"],'), F.substr(whole, F.lit(2))))
-        .otherwise(whole)
-    )
-    named = texts.withColumn("content", F.when(shape != PARTS, content))
-
-    def part(*columns: str) -> Column:
-        return F.struct(F.lit("text").alias("type"), F.concat(*columns).alias("text"))
-
-    envelope = (
-        F.when(shape == NO_CHOICES, F.lit('{"error": "no capacity"}'))
-        .when(shape == OUTPUT_TEXT, F.to_json(F.struct(F.col("content").alias("output_text"))))
-        .when(shape == PARTS, _message(F.array(part("head"), part("body", "tail")), "stop", 900))
-        .when(shape.isin(CUT_LENGTH, CUT_IN_STRING), _message(F.col("content"), "length", 16000))
-        .when(shape == CUT_MAX_TOKENS, _message(F.col("content"), "max_tokens", 900))
-        .when(shape == CUT_FULL_BUDGET, _message(F.col("content"), "stop", 15900))
-        .otherwise(_message(F.col("content"), "stop", 900))
-    )
-    return named.select(
-        "file_name", "file_path",
-        (F.col("shape") + 1).alias("page_count"),
-        F.col("n_chars").cast("long").alias("request_chars"),
-        envelope.alias("response_json"),
-        F.lit(None).cast("string").alias("call_error"),
-        "shape",
+    kept = ["file_name", "file_path", "n_chars", "shape"]
+    return (
+        documents(spark, sf_dir)
+        .withColumn("shape", F.expr("int(doc_id % 12)"))
+        .selectExpr(
+            *kept,
+            f"""if(shape = {EXTRA_KEYS}, to_json(named_struct({_POLICY}, 'remark', 'kept apart')),
+                   to_json(named_struct({_POLICY}))) AS policy""",
+            f"""if(doc_id % 5 = 0, array(),
+                   array({_exposure("characters", "n_chars")}, {_exposure("lines", "size(lines)")})) AS exposures""",
+            f"{_COVERAGES} AS items",
+        )
+        .selectExpr(
+            *kept,
+            """concat('{"policy":', policy, ',') AS head""",
+            f"""concat('"coverages":', if({_CUT}, concat('[', to_json(items[0])), to_json(items))) AS body""",
+            """concat(',"exposures":', to_json(exposures), '}') AS tail""",
+        )
+        .selectExpr("*", f"{_CONTENT} AS content")
+        .selectExpr(
+            "file_name", "file_path", "shape + 1 AS page_count", "n_chars AS request_chars", f"{_RESPONSE} AS response_json",
+            "string(NULL) AS call_error", "shape",
+        )
     )
 
 
