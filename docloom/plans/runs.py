@@ -15,7 +15,7 @@ from docloom.sources.tables import save_table
 
 @dataclass(frozen=True)
 class TableNames:
-    """Names of the saved tables and the view."""
+    """Names of the saved tables, of the dashboard view, and of the temporary view of the texts to send."""
 
     raw_text: str = "policy_raw_text"
     output: str = "policy_model_output"
@@ -23,6 +23,7 @@ class TableNames:
     coverages: str = "policy_coverages"
     exposures: str = "policy_exposures"
     view: str = "policy_dashboard"
+    texts: str = "policy_texts"
 
 
 @dataclass(frozen=True)
@@ -62,6 +63,7 @@ def run_extraction(
     saved_text = save_table(raw_text, names.raw_text, options.fmt)
     # v1 also sends documents whose text could not be read, as empty texts.
     texts = pages.successful(saved_text) if options.rules == "v2" else pages.every_document(saved_text)
+    texts.createOrReplaceTempView(names.texts)
     if completer is None:
         output = requests.stub_run(texts, moment, options.rules, options.max_chars)
     else:

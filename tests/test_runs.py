@@ -145,7 +145,7 @@ def test_stub_run(spark, names, raw_text, rules, files):
     output = spark.table(names.output).orderBy("file_name").first()
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}", output.processed_at)
     assert (output.model_name, output.page_count) == ("STUB", 1 if rules == "v2" else None)
-    assert spark.table(names.raw_text).count() == 2
+    assert spark.table(names.raw_text).count() == 2 and spark.table(names.texts).count() == len(files)
     assert spark.table(names.exposures).count() == len(files)
     assert ("coverage_type" in spark.table(names.coverages).columns) == (rules == "v2")
 
