@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.functions.joins import lookup_join
 from docloom.schemas import CLAIMS_BASES, INCLUDED_STATES, LOG_STATUSES, POLICY_TYPES, SECTION_TYPES
 
 
@@ -88,8 +89,8 @@ def findings(checked: DataFrame, contract: Contract) -> DataFrame:
 
 
 def orphans(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Children whose key no parent has. A skewed child key is split by the adaptive anti join."""
-    return children.join(parents.select(key), key, "left_anti")
+    """Children whose key no parent has. Copies of a parent key are combined before the shuffle."""
+    return lookup_join(children, parents.select(key).distinct(), [key], "left_anti")
 
 
 # Our own measure; the columns count alike.

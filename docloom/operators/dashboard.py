@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from docloom.functions.joins import lookup_join
 from docloom.sources.tables import run_query
 
 KEYS = ["file_name", "file_path"]
@@ -27,7 +28,7 @@ def dashboard(policy_table: DataFrame, coverage_table: DataFrame) -> DataFrame:
     """
     copies = policy_table.groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
     named = coverage_table.groupBy(*KEYS).agg(F.count("coverage_name").alias("named"))
-    joined = copies.join(named, KEYS, "left")
+    joined = lookup_join(copies, named, KEYS, "left")
     return joined.select(*COLUMNS, (F.col("copies") * F.coalesce("named", F.lit(0))).alias("coverage_count"))
 
 
@@ -53,21 +54,23 @@ def dashboard_from_output(parsed: DataFrame) -> DataFrame:
     ]
     copies = parsed.select(*KEYS, *policy).groupBy(*COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
     totals = parsed.select(*KEYS, named.alias("named")).groupBy(*KEYS).agg(F.sum("named").alias("total"))
-    joined = copies.join(totals, KEYS, "left")
+    joined = lookup_join(copies, totals, KEYS, "left")
     return joined.select(*COLUMNS, (F.col("copies") * F.coalesce("total", F.lit(0))).alias("coverage_count"))
 
 
 def create_dashboard_view(spark: SparkSession, view: str, policy_table: str, coverage_table: str) -> DataFrame:
-    """Create or replace the persistent view over saved tables, in the pre-counted form."""
+    """Create or replace the persistent view over saved tables, in the pre-counted form of ``dashboard``."""
     columns = ", ".join(COLUMNS)
     spark.sql(
         f"""
         CREATE OR REPLACE VIEW {view} AS
         WITH copies AS (SELECT {columns}, COUNT(*) AS copies FROM {policy_table} GROUP BY {columns}),
              named AS (SELECT file_name, file_path, COUNT(coverage_name) AS named
-                       FROM {coverage_table} GROUP BY file_name, file_path)
+                       FROM {coverage_table} GROUP BY file_name, file_path),
+             marked_copies AS (SELECT *, xxhash64(file_name, file_path) AS key_hash FROM copies),
+             marked_named AS (SELECT *, xxhash64(file_name, file_path) AS key_hash FROM named)
         SELECT {columns}, copies * COALESCE(named, 0) AS coverage_count
-        FROM copies LEFT JOIN named USING (file_name, file_path)
+        FROM marked_copies LEFT JOIN marked_named USING (key_hash, file_name, file_path)
         """
     )
     return spark.table(view)

@@ -114,10 +114,9 @@ def stub_run_v2(spark, sf_dir):
 
 @_query
 def replay_run(spark, sf_dir):
-    """Requests answered from stored responses; documents without one fail by themselves."""
     built = requests.build_requests(_texts(spark, sf_dir), rules="v2")
-    stored = corpus.stored_responses(spark, sf_dir).filter(F.col("shape") != corpus.CUT_STOPPED)
-    answered = complete_replay(built, stored.withColumn("variant", F.lit("baseline")))
+    stored = corpus.stored_responses(spark, sf_dir).withColumn("variant", F.lit("baseline"))
+    answered = complete_replay(built, stored)
     cleaned = responses.clean_responses(answered, MODEL, RUN_TIME, "v2")
     return cleaned.select("file_path", "page_count", "request_chars", "extraction_status", "was_repaired")
 

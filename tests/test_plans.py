@@ -56,6 +56,42 @@ def test_hot_keys(spark):
     assert contracts.orphans(elements, parents, "policy_id").count() == rows.filter("k = '0'").count()
 
 
+def test_hot_keys_are_split(spark):
+    """Both kinds of lookup join end up as split joins when one key holds a third of the rows."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        rows = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).cast("string").alias("k"), F.col("id")
+        )
+        policies = rows.select(
+            F.col("k").alias("file_name"), F.col("k").alias("file_path"), F.col("id").cast("string").alias("policy_number"),
+            *[F.sha2(F.col("id").cast("string"), 256).alias(name) for name in dashboard.COLUMNS[3:9]],
+            F.lit(0.5).alias("policy_confidence"),
+        )
+        counted = rows.select(F.col("k").alias("file_name"), F.col("k").alias("file_path"), F.lit("c").alias("coverage_name"))
+        children = rows.select(F.col("k").alias("policy_id"), F.sha2(F.col("id").cast("string"), 256).alias("element_id"))
+        parents = rows.filter("id % 2 = 1").select(F.col("id").cast("string").alias("policy_id"))
+        joins = {
+            60000: dashboard.dashboard(policies, counted),
+            20000 + 20000: contracts.orphans(children, parents, "policy_id"),
+        }
+        for expected, df in joins.items():
+            assert len(df.collect()) == expected
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("name", ["page_text_pages", "dashboard_view", "coverages_v2", "usage_rollup"])
 def test_results_do_not_depend_on_partitions(spark, name):
     def run(count):
