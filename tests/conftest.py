@@ -10,6 +10,6 @@ from docloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("docloom-tests", cpus=4, shuffle_partitions=4)
+    session = local_session("docloom-tests", cpus=8, shuffle_partitions=4)
     yield session
     session.stop()
