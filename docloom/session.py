@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,15 +35,12 @@ def local_session(app_name: str = "docloom", cpus: int | str = "*", shuffle_part
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only on a local master."""
+    """The shared folder for staged tables: ``spark.checkpoint.dir``, or a folder below the warehouse.
+
+    Both are reachable from every executor. Nothing is changed on the session.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="docloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def stage(df: DataFrame, name: str, root: str | None = None) -> DataFrame:

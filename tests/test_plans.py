@@ -5,8 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from docloom.operators import contracts, dashboard
+from docloom.plans.queries import all_queries
 from docloom.schemas import COVERAGE_ELEMENT
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -17,9 +17,9 @@ JSON_JUDGES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_plan(spark, name):
-    plan = contract.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = all_queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython", "SinglePartition"):
         assert operator not in plan or (operator == "SinglePartition" and name in ("output_count", "normalization_report"))
     assert len(re.findall("ArrowEvalPython", plan)) <= (2 if name in ("truncation_report", "variant_compare") else 1)
@@ -27,9 +27,9 @@ def test_plan(spark, name):
 
 
 def test_filters_and_columns_reach_the_saved_tables(spark, tmp_path):
-    policies = contract.queries()["policy_summary"](spark, SF_DIR)
+    policies = all_queries()["policy_summary"](spark, SF_DIR)
     policies.write.parquet(str(tmp_path / "p"))
-    coverages = contract.queries()["coverages"](spark, SF_DIR)
+    coverages = all_queries()["coverages"](spark, SF_DIR)
     coverages.write.parquet(str(tmp_path / "c"))
     view = dashboard.dashboard(spark.read.parquet(str(tmp_path / "p")), spark.read.parquet(str(tmp_path / "c")))
     plan = dashboard.rows_for_file(view, "doc_7.pdf")._jdf.queryExecution().executedPlan().toString()
@@ -96,7 +96,7 @@ def test_hot_keys_are_split(spark):
 def test_results_do_not_depend_on_partitions(spark, name):
     def run(count):
         spark.conf.set("spark.sql.shuffle.partitions", str(count))
-        return sorted(map(str, contract.queries()[name](spark, SF_DIR).collect()))
+        return sorted(map(str, all_queries()[name](spark, SF_DIR).collect()))
 
     try:
         assert run(1) == run(7)

@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from docloom.plans.oracles import all_oracles
+from docloom.plans.queries import all_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = (
@@ -35,11 +37,11 @@ def canonical(columns, rows):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_matches_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF_DIR)
+    df = all_queries()[name](spark, SF_DIR)
     rows = [tuple(row) for row in df.collect()]
-    cursor = duck.execute(contract.oracle_sql()[name])
+    cursor = duck.execute(all_oracles()[name])
     columns = [column[0] for column in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     expected = cursor.fetchall()
