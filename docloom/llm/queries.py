@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docloom.llm.bpe import encode_bpe
 from docloom.llm.line_dedup import dedup_lines
+from docloom.llm.packing import pack
 from docloom.llm.pii import BASE, find_pii
 from docloom.llm.sharding import assign_shards
 from docloom.llm.shared import table
@@ -12,6 +14,18 @@ from docloom.llm.shared import table
 SHARDS = 40
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer file is on this machine; executors look at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return pack(documents, vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
@@ -43,6 +57,16 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_bpe(documents, vocabulary("word_bpe_49k.json"), decode=True)
+    joined = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     even = dict.fromkeys(range(SHARDS), 1.0)
     placed = assign_shards(table(spark, sf_dir, "documents"), even, even | {SHARDS: 1.0})
