@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.llm.bpe import encode_bpe
 from docloom.llm.line_dedup import dedup_lines
+from docloom.llm.ngram_join import ngram_join
 from docloom.llm.packing import pack
 from docloom.llm.pii import BASE, find_pii
 from docloom.llm.sharding import assign_shards
@@ -26,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents, vocabulary("byte_bpe_50k.json"), capacity=1024, end_id=2)
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
