@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from docloom.llm.ann import nearest
 from docloom.llm.bpe import encode_bpe
 from docloom.llm.line_dedup import dedup_lines
 from docloom.llm.ngram_join import ngram_join
@@ -11,6 +12,7 @@ from docloom.llm.packing import pack
 from docloom.llm.pii import BASE, find_pii
 from docloom.llm.sharding import assign_shards
 from docloom.llm.shared import table
+from docloom.llm.topk import top_k
 
 SHARDS = 40
 
@@ -62,6 +64,18 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _asked(vec_id: Column) -> Column:
+    return vec_id % 50 == 0
+
+
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), _asked, k=5)
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), _asked, k=5, scale=256)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = encode_bpe(documents, vocabulary("word_bpe_49k.json"), decode=True)
@@ -96,9 +110,23 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM marked GROUP BY doc_id"""
 
 
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id,
+    CAST(list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def llm_queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_line_dedup": _LINE_DEDUP}
+    return {"op3_line_dedup": _LINE_DEDUP, "op6_topk": _TOP_K}
