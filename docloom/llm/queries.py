@@ -10,9 +10,11 @@ from docloom.llm.line_dedup import dedup_lines
 from docloom.llm.ngram_join import ngram_join
 from docloom.llm.packing import pack
 from docloom.llm.pii import BASE, find_pii
+from docloom.llm.quality import score_quality, scored_rows, train_quality
 from docloom.llm.sharding import assign_shards
 from docloom.llm.shared import table
 from docloom.llm.topk import top_k
+from docloom.llm.toxicity import score_toxicity, train_toxicity
 
 SHARDS = 40
 
@@ -76,6 +78,12 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), _asked, k=5, scale=256)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_quality(documents, table(spark, sf_dir, "labels"))
+    return scored_rows(score_quality(documents, model), threshold=0.7)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = encode_bpe(documents, vocabulary("word_bpe_49k.json"), decode=True)
@@ -92,6 +100,12 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumn("law", F.lit("key"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train_toxicity(documents, table(spark, sf_dir, "labels"))
+    return scored_rows(score_toxicity(documents, model), threshold=0.3)
+
+
 _LINE_DEDUP = r"""
 WITH parts AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents

@@ -55,3 +55,26 @@ def class_ranks(rows: DataFrame, cls: str, block: str, local: str, rank: str) ->
 def blocks_of(rows: int, per_block: int, least: int = 1) -> int:
     """How many blocks hold ``rows`` rows with about ``per_block`` each."""
     return max(least, math.ceil(rows / per_block))
+
+
+def labelled_sample(
+    documents: DataFrame, labels: DataFrame, label: str, per_class: dict[int, int], longest: int, id_col: str = "doc_id",
+) -> tuple[list[str], list[int]]:
+    """Texts and labels to learn from: of each class the rows of smallest hash, at most ``per_class`` of them.
+
+    Rows that are held out and texts of more than ``longest`` characters are left out of learning, so that what the
+    driver holds is bounded. Rows without an id or a label do not count.
+    """
+    known = labels.filter(F.col(id_col).isNotNull() & ~held_out(F.col(id_col))).select(
+        F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")
+    )
+    chosen = None
+    for value, most in per_class.items():
+        some = known.filter(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(most)
+        chosen = some if chosen is None else chosen.union(some)
+    rows = (
+        documents.select(F.col(id_col).alias("_id"), F.col("text").alias("_text")).filter(F.length("_text") <= longest)
+        .join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").toArrow().to_pylist()
+    )
+    rows.sort(key=lambda r: (zlib.crc32(str(r["_id"]).encode()), r["_id"], r["_label"], r["_text"]))
+    return [r["_text"] for r in rows], [r["_label"] for r in rows]
