@@ -93,6 +93,11 @@ class Kind:
     words: str | None = None
 
 
+def _near(words: str) -> str:
+    """Any of the words, whatever their case, without letters beside it."""
+    return "(?i)(?:^|[^a-z])(?:" + "|".join(words.split()) + ")(?:[^a-z]|$)"
+
+
 _CARD = r"[0-9](?:[ -]?[0-9])++"
 BASE = (
     # [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+ ; a match may begin where the one before has ended
@@ -105,12 +110,9 @@ BASE = (
     Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", phone_ok),
 )
 EXTRA = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])", mod97_ok, 0.8, 0.2,
-         r"(?i)\b(?:iban|account|bank|konto|compte|cuenta)\b"),
-    Kind("short_card", _CARD, short_card_ok, 0.4, 0.4,
-         r"(?i)\b(?:card|visa|amex|credit|karte|carte|tarjeta)\b"),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", None, 0.3, 0.5,
-         r"(?i)\b(?:ssn|social|security|tax)\b"),
+    Kind("iban", r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", mod97_ok, 0.8, 0.2, _near("iban account bank konto compte cuenta")),
+    Kind("short_card", _CARD, short_card_ok, 0.4, 0.4, _near("card visa amex credit karte carte tarjeta")),
+    Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", None, 0.3, 0.5, _near("ssn social security tax")),
 )
 
 

@@ -138,9 +138,65 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+def _pii_kind(name: str, pattern: str, confirmed: str, score: str = "1.0") -> str:
+    """Spans of one kind: matches stand between the pieces that splitting leaves, so lengths add up to places."""
+    return f"""
+SELECT doc_id, '{name}' AS kind, i, ends - length(m) AS s, ends AS e FROM (
+  SELECT *, CAST(sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS BIGINT) AS ends FROM (
+    SELECT doc_id, i, found[i] AS m, gaps[i] AS gap,
+      right(gaps[i], 40) || chr(10) || left(gaps[i + 1], 40) AS around
+    FROM (
+      SELECT doc_id, found, gaps, unnest(range(1, len(found) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(t, '{pattern}') AS found, string_split_regex(t, '{pattern}') AS gaps FROM texts
+      )
+    )
+  )
+) WHERE {confirmed} AND {score} >= 0.6"""
+
+
+def _sql_pii() -> str:
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    digit = f"CAST(substr(reverse({digits}), i + 1, 1) AS INTEGER)"
+    luhn = (
+        f"list_sum(list_transform(range(0, length({digits})), lambda i: CASE WHEN i % 2 = 0 THEN {digit}"
+        f" WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)) % 10 = 0"
+    )
+    plain = "replace(m, ' ', '')"
+    values = (
+        f"list_transform(string_split(substr({plain}, 5) || substr({plain}, 1, 4), ''),"
+        " lambda c: instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', c) - 1)"
+    )
+    mod97 = f"list_reduce({values}, lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1"
+    octets = "len(list_filter(string_split(m, '.'), lambda p: CAST(p AS DOUBLE) > 255)) = 0"
+
+    def near(base: float, more: float, words: str) -> str:
+        pattern = "(?i)(?:^|[^a-z])(?:" + "|".join(words.split()) + ")(?:[^a-z]|$)"
+        return f"({base} + CASE WHEN regexp_matches(around, '{pattern}') THEN {more} ELSE 0.0 END)"
+
+    card = "[0-9](?:[ -]?[0-9])+"
+    kinds = (
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        ("ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", octets),
+        ("card", card, f"length({digits}) BETWEEN 16 AND 19 AND {luhn}"),
+        ("phone", r"\+[0-9][ ().0-9-]+[0-9]", f"length({digits}) BETWEEN 8 AND 15"),
+        ("iban", "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", mod97, near(0.8, 0.2, "iban account bank konto compte cuenta")),
+        ("short_card", card, f"length({digits}) BETWEEN 13 AND 15 AND {luhn}",
+         near(0.4, 0.4, "card visa amex credit karte carte tarjeta")),
+        ("ssn", "[0-9]{3}-[0-9]{2}-[0-9]{4}", "true", near(0.3, 0.5, "ssn social security tax")),
+    )
+    spans = " UNION ALL ".join(f"SELECT {n} AS place, * FROM ({_pii_kind(*kind)})" for n, kind in enumerate(kinds))
+    count = lambda kind: f"count(kind) FILTER (WHERE kind = '{kind}') AS n_{kind}"
+    joined = "coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY place, s){}, '')"
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), spans AS ({spans})
+SELECT doc_id, {count("email")}, {count("ip")}, {count("card")}, {count("phone")},
+  sha256({joined.format(" FILTER (WHERE place < 4)")}) AS base_sha256, {joined.format("")} AS spans
+FROM texts LEFT JOIN spans USING (doc_id) GROUP BY doc_id"""
+
+
 def llm_queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_line_dedup": _LINE_DEDUP, "op6_topk": _TOP_K}
+    return {"op3_line_dedup": _LINE_DEDUP, "op4_pii": _sql_pii(), "op6_topk": _TOP_K}

@@ -202,7 +202,7 @@ def train(texts: list[str], labels: list[int]) -> Classifier:
     for step in range(1, PASSES + 1):
         logit = np.clip(np.bincount(r, weights[c], len(data)) + weights[-1], -30, 30)
         miss = (1 / (1 + np.exp(-logit)) - target) / len(data)
-        slope = np.append(np.bincount(c, miss[r], len(used)) + DECAY / len(used) * weights[:-1], miss.sum())
+        slope = np.append(np.bincount(c, miss[r], len(used)) + DECAY / max(1, len(used)) * weights[:-1], miss.sum())
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope * slope
         weights -= RATE * first / (1 - 0.9**step) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     return Classifier(features[used], weights[:-1], float(weights[-1]))
