@@ -23,6 +23,8 @@ NO_ID = 2**63 - 1
 # n-grams counted together, and the part of their documents from which on one counts as frequent.
 BITS, STARS, FREQUENT, CHUNK, PART = 1024, 2, 100_000, 1 << 21, 1000
 PART_BYTES = 1 << 22
+# Sets of more n-grams than this also get a wide sketch, of at least as many bits as they have n-grams.
+LARGE = 2048
 
 _lower = np.arange(256, dtype=np.uint8)
 _lower[[ord(c) for c in UPPER]] += 32
@@ -133,13 +135,17 @@ def frequent_ngrams(rows: DataFrame, n: int) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """For each row: set size, 128 bits of set hash, prefix, and a sketch of the set: parities of ``BITS`` buckets."""
+    """For each row: set size, 128 bits of set hash, prefix, and sketches of the set.
+
+    A sketch holds the parities of hash buckets: ``BITS`` of them, and for large sets a second one of as many as the
+    set has n-grams, at least.
+    """
     order = np.argsort(frequent)
     known, place = frequent[order], order
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
-            sizes, marks, prefixes, sketches = [], [], [], []
+            sizes, marks, prefixes, sketches, wide = [], [], [], [], []
             for found in ngram_sets(batch.column(1).to_pylist(), n):
                 sizes.append(len(found))
                 marks.append((int(_mix(found, 11).sum(dtype=np.uint64)), int(_mix(found, 12).sum(dtype=np.uint64))))
@@ -152,8 +158,9 @@ def signatures(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
                     prefixes.append(np.concatenate([rare[:length], late[: max(0, length - len(rare))]]))
                 else:
                     prefixes.append(found[:length])
-                parity = np.bincount((_mix(found, 13) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
-                sketches.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
+                bucket = _mix(found, 13)
+                sketches.append(_parities(bucket, BITS).view(np.int64))
+                wide.append(_parities(bucket, 1 << (len(found) - 1).bit_length()).tobytes() if len(found) > LARGE else None)
             if not sizes:
                 continue
             ends = pa.array(np.cumsum([0, *map(len, prefixes)]).astype(np.int32))
@@ -163,12 +170,29 @@ def signatures(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
                 [
                     batch.column(0), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefixes).view(np.int64))),
-                    pa.ListArray.from_arrays(words, pa.array(np.concatenate(sketches))),
+                    pa.ListArray.from_arrays(words, pa.array(np.concatenate(sketches))), pa.array(wide, pa.binary()),
                 ],
-                names=["doc", "n", "h1", "h2", "prefix", "sketch"],
+                names=["doc", "n", "h1", "h2", "prefix", "sketch", "wide"],
             )
 
-    return rows.mapInArrow(signed, "doc long, n long, h1 long, h2 long, prefix array<long>, sketch array<long>")
+    return rows.mapInArrow(
+        signed, "doc long, n long, h1 long, h2 long, prefix array<long>, sketch array<long>, wide binary"
+    )
+
+
+def _parities(bucket: np.ndarray, bits: int) -> np.ndarray:
+    counts = np.bincount((bucket % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8))
+
+
+def _wide_apart(one: bytes, other: bytes) -> int:
+    """At most the size of the symmetric difference; the longer sketch is folded to the length of the shorter one."""
+    a, b = np.frombuffer(one, dtype=np.uint8), np.frombuffer(other, dtype=np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
 
 
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -183,17 +207,32 @@ def _apart(a: Column, b: Column) -> Column:
     return bits
 
 
-def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that size and sketch do not rule out, with ``apart``.
+def _close(pairs: DataFrame, nodes: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that size and sketches do not rule out, with ``apart``.
 
     Similarity t allows a symmetric difference of (1 - t) / (1 + t) of the two sizes together.
     """
     side = nodes.select("node", "n", "sketch")
     joined = pairs.join(side.toDF("a", "n_a", "sketch_a"), "a").join(side.toDF("b", "n_b", "sketch_b"), "b")
     apart = joined.filter(_sizes_fit(F.col("n_a"), F.col("n_b"), percent)).select(
-        "a", "b", _apart(F.col("sketch_a"), F.col("sketch_b")).alias("apart"), (F.col("n_a") + F.col("n_b")).alias("both")
+        "a", "b", _apart(F.col("sketch_a"), F.col("sketch_b")).cast("long").alias("apart"),
+        ((100 - percent) * (F.col("n_a") + F.col("n_b"))).alias("room"), (F.least("n_a", "n_b") > LARGE).alias("large"),
+    )
+    near = stage(apart.filter((100 + percent) * F.col("apart") <= F.col("room")), "near")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            one, other, room = (batch.column(i).to_pylist() for i in (3, 4, 2))
+            apart = [_wide_apart(x, y) for x, y in zip(one, other)]
+            keep = pa.array([(100 + percent) * n <= most for n, most in zip(apart, room)], pa.bool_())
+            columns = [batch.column(0), batch.column(1), pa.array(apart, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "apart"]).filter(keep)
+
+    large = (
+        near.filter("large").join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b")
+        .select("a", "b", "room", "wide_a", "wide_b").mapInArrow(compared, "a long, b long, apart long")
     )
-    return apart.filter((100 + percent) * F.col("apart") <= (100 - percent) * F.col("both")).select("a", "b", "apart")
+    return near.filter("not large").select("a", "b", "apart").union(large)
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
@@ -239,7 +278,7 @@ def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
         postings.join(ends, "ngram").select("gid", "comp", "n", both)
         .filter((F.col("comp") != F.col("end.comp")) & _sizes_fit(F.col("n"), F.col("end.n"), percent))
         .select(F.least("gid", "end.gid").alias("a"), F.greatest("gid", "end.gid").alias("b"))
-        .distinct()
+        .filter("a < b").distinct()
     )
 
 
@@ -295,17 +334,29 @@ def ngram_join(
     """
     rows = documents.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("t"))
     frequent = frequent_ngrams(rows, n)
-    signed = stage(signatures(rows, n, percent, frequent), "signatures")
-    classes = signed.filter("n > 0").groupBy("n", "h1", "h2").agg(
-        F.min("doc").alias("node"), F.any_value("prefix").alias("prefix"), F.any_value("sketch").alias("sketch")
+    found = signatures(rows, n, percent, frequent)
+    signed = stage(found.withColumns({"p1": F.xxhash64("prefix"), "p2": F.xxhash64(F.lit(1), "prefix")}), "signatures")
+    some = signed.filter("n > 0")
+    groups = stage(
+        some.groupBy("n", "p1", "p2").agg(
+            F.min("doc").alias("gid"), F.any_value("prefix").alias("prefix"),
+            F.when(F.min("h1") == F.max("h1"), 1).otherwise(2).alias("members"),
+        ),
+        "groups",
+    )
+    classes = some.groupBy("n", "h1", "h2").agg(
+        F.min("doc").alias("node"), *[F.any_value(c).alias(c) for c in ("p1", "p2", "sketch", "wide")]
+    )
+    keyed = stage(classes.join(groups.select("n", "p1", "p2", "gid"), ["n", "p1", "p2"]), "classes")
+    nodes = keyed.select("node", "gid", "n", "sketch")
+    wide = keyed.filter("wide is not null").select("node", "wide")
+    # Only n-grams that several classes share can join any.
+    several = stage(
+        groups.select(F.explode("prefix").alias("ngram"), "members").groupBy("ngram").agg(F.sum("members").alias("k"))
+        .filter("k > 1").select("ngram"),
+        "several",
     )
-    key = (F.xxhash64("prefix"), F.xxhash64(F.lit(1), "prefix"))
-    keyed = stage(classes.select("node", "n", "h1", "h2", "prefix", "sketch", key[0].alias("p1"), key[1].alias("p2")), "classes")
-    gids = keyed.groupBy("n", "p1", "p2").agg(F.min("node").alias("gid"), F.any_value("prefix").alias("prefix"))
-    groups = stage(gids, "groups")
-    nodes = keyed.select("node", "n", "p1", "p2", "sketch").join(groups.select("n", "p1", "p2", "gid"), ["n", "p1", "p2"])
-    nodes = stage(nodes.select("node", "gid", "n", "sketch"), "nodes")
-    postings = stage(groups.select(F.explode("prefix").alias("ngram"), "gid", "n"), "postings")
+    postings = stage(groups.select(F.explode("prefix").alias("ngram"), "gid", "n").join(several, "ngram"), "postings")
 
     # Members of a group meet its first one.
     inside = nodes.filter("node <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b"))
@@ -321,10 +372,10 @@ def ngram_join(
         units = unit_postings()
         if number < STARS:
             pairs = _star_pairs(units, percent)
-            pairs = _close(pairs.union(inside) if number == 0 else pairs, nodes, percent)
+            pairs = _close(pairs.union(inside) if number == 0 else pairs, nodes, wide, percent)
             pairs = pairs.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b")
         else:
-            pairs = _close(_cross_pairs(units, labelled, percent), nodes, percent)
+            pairs = _close(_cross_pairs(units, labelled, percent), nodes, wide, percent)
         found = _verified(pairs, rows, n, percent)
         links = found if links is None else links.union(found)
         label = components(links)
