@@ -1,8 +1,8 @@
 """Exact top-k by inner product with the three-phase uniform threshold algorithm.
 
 Vectors are cut into segments, and each segment of each block of vectors is a list of partial scores. The lists'
-foremost entries give a safe cutoff; each list then gives all entries that reach its share of it; what is still open
-after that is resolved exactly.
+foremost entries give a safe cutoff; each list then gives all entries that reach an equal share of it; the scores of
+what the lists gave are resolved exactly, where the vectors are.
 """
 
 from __future__ import annotations
@@ -24,13 +24,13 @@ def _segments(width: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(bounds, bounds[1:])]
 
 
-LIST_TYPE = "query_id long, segment int, vec_id long, part long"
+SCORED = "query_id long, vec_id long, score long"
 
 
-def _list_table(found: list[tuple]) -> pa.Table:
-    columns = [np.concatenate(x) for x in zip(*found)] if found else [np.zeros(0, dtype=np.int64)] * 4
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
-    return pa.table({n: pa.array(c.astype(np.int64), pa.int64()).cast(t) for n, c, t in zip(("query_id", "segment", "vec_id", "part"), columns, types)})
+def _scored(sought: np.ndarray, ids: np.ndarray, found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
+    query, at, score = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, dtype=np.int64)] * 3
+    columns = (sought[query], ids[at], score.astype(np.int64))
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("query_id", "vec_id", "score"), columns)})
 
 
 def top_k(
@@ -45,8 +45,9 @@ def top_k(
     exact. Of rows with the same id the smallest vector counts; shorter vectors count as ending in zeros. An empty
     table gives no rows.
 
-    The partial scores of a segment may be negative. So they are taken above the smallest one of their list, which the
-    first phase also gathers: an entry that no list gave is then below the cutoff for sure.
+    Entries are right to be left out: a vector whose parts all stay below an equal share of the cutoff stays below the
+    cutoff, and ``k`` vectors reach it. This holds for negative scores too. Between the phases only ``k`` rows for each
+    query and block are shuffled, and the cutoff goes to the blocks with the queries.
     """
     floored = searched(vectors, id_col, vector_col).select("id", F.transform("vec", lambda x: F.floor(x * scale).cast("double")).alias("vec"))
     live = stage(floored.filter(F.forall("vec", lambda x: F.abs(x) < LARGEST)), "vectors")
@@ -54,95 +55,46 @@ def top_k(
     cuts = _segments(width)
     queries = live.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("vec").alias("query"))
 
-    def parts(rows: pa.Table, asked: pa.Table):
-        """For each query and segment: ids and partial scores of all candidates of the block."""
+    def lists(rows: pa.Table, asked: pa.Table):
+        """Ids, query ids, and for each segment the parts of all queries (rows) and vectors; a query's own has none."""
         ids, sought = rows.column("id").to_numpy(), asked.column("query_id").to_numpy()
-        if not len(ids) or not len(sought):
-            return
         block, wanted = matrix(rows.column("vec"), width), matrix(asked.column("query"), width)
-        for number, cut in enumerate(cuts):
-            scores = wanted[:, cut] @ block[:, cut].T
-            for i, query in enumerate(sought.tolist()):
-                other = ids != query
-                yield i, query, number, ids[other], scores[i][other]
+        own = sought[:, None] == ids
+        return ids, sought, [np.where(own, -np.inf, wanted[:, cut] @ block[:, cut].T) for cut in cuts]
 
     def foremost(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        found = []
-        for _, query, number, ids, score in parts(rows, asked):
-            if len(ids):
-                best = np.lexsort((ids, -score))[:k] if len(ids) > k else np.arange(len(ids))
-                worst = int(score.argmin())  # the list's smallest score, with an id that no vector stands for
-                found.append((
-                    np.full(len(best) + 1, query), np.full(len(best) + 1, number), np.append(ids[best], -1),
-                    np.append(score[best], score[worst]),
-                ))
-                found[-1] = (*found[-1], np.append(np.zeros(len(best)), 1))
-        table = _list_table([x[:4] for x in found])
-        low = np.concatenate([x[4] for x in found]) if found else np.zeros(0)
-        return table.append_column("low", pa.array(low.astype(bool), pa.bool_()))
+        """Phase 1: the vectors that head some list of the block, with their scores."""
+        ids, sought, parts = lists(rows, asked)
+        if not len(ids) or not len(sought):
+            return _scored(sought, ids, [])
+        total, heads = sum(parts), np.zeros((len(sought), len(ids)), dtype=bool)
+        for part in parts:
+            best = np.argpartition(-part, min(k, len(ids)) - 1, axis=1)[:, :k]
+            np.put_along_axis(heads, best, True, axis=1)
+        query, at = np.nonzero(heads & np.isfinite(total))
+        return _scored(sought, ids, [(query, at, total[query, at])])
 
     blocks = live.select("id", "vec")
-    gathered = stage(over_grid(blocks, queries, "id", "query_id", foremost, f"{LIST_TYPE}, low boolean"), "lists")
-    lows = gathered.filter("low").groupBy("query_id", "segment").agg(F.min("part").alias("low"))
-    floors = stage(lows.groupBy("query_id").agg(F.map_from_entries(F.collect_list(F.struct("segment", "low"))).alias("lows")), "floors")
-
-    def bounded(entries: DataFrame, missing) -> DataFrame:
-        """For each entry's vector: what its known parts and the least (or most) of the missing ones add up to."""
-        known = entries.groupBy("query_id", "vec_id").agg(
-            F.map_from_entries(F.collect_list(F.struct("segment", "part"))).alias("parts")
-        )
-        total = lambda default: F.aggregate(
-            F.sequence(F.lit(0), F.lit(len(cuts) - 1)), F.lit(0).cast("double"),
-            lambda acc, s: acc + F.coalesce(F.try_element_at("parts", s), default(s)).cast("double"),
-        )
-        return missing(known, total)
-
-    # Phase 1: the k-th largest sum that is certain so far is a safe cutoff.
-    tops = largest(gathered.filter("not low"), ["query_id", "segment"], "part", "vec_id", k, "place")
-    certain = bounded(
-        tops, lambda known, total: known.join(floors, "query_id").select("query_id", "vec_id", total(lambda s: F.element_at("lows", s)).alias("sure"))
-    )
-    kth = largest(certain, ["query_id"], "sure", "vec_id", k).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("sure").alias("cut"))
-    floor_sum = F.aggregate(F.map_values("lows"), F.lit(0).cast("double"), lambda a, x: a + x)
-    cutoffs = stage(
-        floors.join(kth, "query_id", "left").select(
-            "query_id", "lows",
-            F.when(F.col("n") >= k, (F.col("cut") - floor_sum) / len(cuts)).otherwise(F.lit(0.0)).alias("share"),
-        ),
-        "cutoffs",
+    heads = over_grid(blocks, queries, "id", "query_id", foremost, SCORED)
+    cutoffs = largest(heads, ["query_id"], "score", "vec_id", k).groupBy("query_id").agg(
+        F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("cut")
     )
 
-    # Phase 2: every list gives what reaches its share of the cutoff.
     def sufficient(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        found, lows, shares = [], asked.column("lows").to_pylist(), asked.column("share").to_pylist()
-        for i, query, number, ids, score in parts(rows, asked):
-            enough = score >= dict(lows[i])[number] + shares[i] - 1e-6
-            found.append((np.full(int(enough.sum()), query), np.full(int(enough.sum()), number), ids[enough], score[enough]))
-        return _list_table(found)
-
-    told = queries.join(cutoffs, "query_id")
-    entries = stage(over_grid(blocks, told, "id", "query_id", sufficient, LIST_TYPE), "entries")
-    both = stage(
-        bounded(
-            entries, lambda known, total: known.join(cutoffs, "query_id").select(
-                "query_id", "vec_id", total(lambda s: F.element_at("lows", s)).alias("sure"),
-                total(lambda s: F.element_at("lows", s) + F.col("share")).alias("most"),
-                (F.size("parts") == len(cuts)).alias("known"),
-            )
-        ),
-        "bounds",
-    )
-
-    # Phase 3: what may still be among the k is resolved.
-    again = largest(both, ["query_id"], "sure", "vec_id", k).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("sure").alias("cut"))
-    open_ = both.join(again, "query_id").filter((F.col("n") < k) | (F.col("most") >= F.col("cut") - 1e-6))
-    exact = F.aggregate(
-        F.zip_with("vec", "query", lambda x, y: F.coalesce(x * y, F.lit(0.0)).cast("long")), F.lit(0).cast("long"), lambda a, x: a + x
-    )
-    resolved = (
-        open_.filter("not known").select("query_id", "vec_id")
-        .join(live.select(F.col("id").alias("vec_id"), "vec"), "vec_id").join(queries, "query_id")
-        .select("query_id", "vec_id", exact.alias("score"))
-    )
-    scored = open_.filter("known").select("query_id", "vec_id", F.col("sure").cast("long").alias("score")).union(resolved)
+        """Phases 2 and 3: entries that reach their list's share of the cutoff, resolved; those below it go."""
+        ids, sought, parts = lists(rows, asked)
+        if not len(ids) or not len(sought):
+            return _scored(sought, ids, [])
+        cut = asked.column("cut").to_numpy(zero_copy_only=False).astype(float)
+        share = np.where(np.isnan(cut), -np.inf, cut / len(cuts) - 1e-6)
+        given = np.zeros((len(sought), len(ids)), dtype=bool)
+        for part in parts:
+            given |= (part >= share[:, None]) & np.isfinite(part)
+        query, at = np.nonzero(given)
+        score = sum(part[query, at] for part in parts)
+        reach = ~(score < cut[query])
+        return _scored(sought, ids, [(query[reach], at[reach], score[reach])])
+
+    told = queries.join(cutoffs, "query_id", "left")
+    scored = over_grid(blocks, told, "id", "query_id", sufficient, SCORED)
     return largest(scored, ["query_id"], "score", "vec_id", k).select("query_id", "rank", "vec_id", "score")
