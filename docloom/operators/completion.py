@@ -14,9 +14,13 @@ from docloom.operators.requests import MAX_TOKENS
 
 Completer = Callable[[dict], dict]
 
-_KEPT = ["file_name", "file_path", "page_count", "variant", "request_chars"]
-_KEPT_TYPES = "file_name string, file_path string, page_count int, variant string, request_chars bigint"
+_KEPT = ["file_name", "file_path", "page_count", "variant", "part_no", "part_count", "request_chars"]
+_KEPT_TYPES = (
+    "file_name string, file_path string, page_count int, variant string, part_no int, part_count int, request_chars bigint"
+)
 NO_RESPONSE = "no stored response"
+# Answers that are handed on together, so that few calls are held at a time.
+SLICE = 16
 
 
 @dataclass(frozen=True)
@@ -62,11 +66,13 @@ def complete(requests: DataFrame, completer: Completer, parallelism: int | None
             return answer, problem, int((time.monotonic() - start) * 1000)
 
         for batch in batches:
-            answers = [one(body) for body in batch.pop("request_json")]
-            batch[["response_json", "call_error", "duration_ms"]] = pd.DataFrame(
-                answers, index=batch.index, columns=["response_json", "call_error", "duration_ms"]
-            ).astype(object)
-            yield batch
+            for start in range(0, len(batch), SLICE):
+                some = batch.iloc[start : start + SLICE].copy()
+                answers = [one(body) for body in some.pop("request_json")]
+                some[["response_json", "call_error", "duration_ms"]] = pd.DataFrame(
+                    answers, index=some.index, columns=["response_json", "call_error", "duration_ms"]
+                ).astype(object)
+                yield some
 
     answered = requests.select(*_KEPT, _estimated_input(), "request_json").mapInPandas(
         call,
@@ -88,14 +94,16 @@ def complete_mock(requests: DataFrame, response: dict | None = None, stage: str
 
 
 def complete_replay(requests: DataFrame, stored: DataFrame, stage: str = "unknown") -> DataFrame:
-    """Stored responses (``file_path``, ``variant``, ``response_json``) in place of calls.
+    """Stored responses (``file_path``, ``variant``, ``part_no``, ``response_json``) in place of calls.
 
-    Stored rows are unique by path and variant. A request without a stored response fails on its own.
+    Stored rows are unique by path, variant and part; without part numbers they belong to first parts. A request
+    without a stored response fails on its own.
     """
-    answers = stored.select("file_path", "variant", "response_json")
+    part = F.col("part_no") if "part_no" in stored.columns else F.lit(1)
+    answers = stored.select("file_path", "variant", part.cast("int").alias("part_no"), "response_json")
     return (
         requests.select(*_KEPT, _estimated_input())
-        .join(answers, ["file_path", "variant"], "left")
+        .join(answers, ["file_path", "variant", "part_no"], "left")
         .select(
             *_KEPT,
             "estimated_input",

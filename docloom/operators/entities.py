@@ -26,7 +26,25 @@ def _flat(source: str, fields, prefix: str) -> list[Column]:
     ]
 
 
+def _whole_documents(rows: DataFrame) -> DataFrame:
+    """One row per document: of each column the first value that is not null, by part.
+
+    Each value travels with its part number through a minimum, so parts are combined before the shuffle.
+    """
+    found = [c for c in rows.columns if c not in ("file_name", "file_path", "part_no")]
+    firsts = [
+        F.min(F.when(F.col(c).isNotNull(), F.struct("part_no", F.col(c).alias("value"))))["value"].alias(c) for c in found
+    ]
+    return rows.groupBy("file_name", "file_path").agg(*firsts)
+
+
 def policies(parsed: DataFrame, rules: str = "v1") -> DataFrame:
+    """A policy row per row of output; output in parts gives one row per document."""
+    if "part_no" in parsed.columns:
+        body = _flat("extracted.policy", POLICY_FIELDS, "policy")
+        more = ["page_count", "processed_at"] if rules == "v2" else []
+        whole = _whole_documents(parsed.select("file_name", "file_path", "part_no", *more, *body))
+        return whole.select("file_name", "file_path", *more[:1], *[c for c in whole.columns if c not in ("file_name", "file_path", *more)], *more[1:])
     body = _flat("extracted.policy", POLICY_FIELDS, "policy")
     if rules == "v2":
         return parsed.select("file_name", "file_path", "page_count", *body, "processed_at")

@@ -12,11 +12,13 @@ from docloom.functions.variant import sql_map
 from docloom.schemas import CLAIMS_BASES, POLICY_TYPES
 
 # Wordings of amounts, layers, waiting periods and missing limits. An amount is one group.
-NUMBER = r"([0-9][0-9,]*(?:\.[0-9]+)?(?:\s*[KMkm]\b)?)"
-AMOUNT = r"\$?\s*" + NUMBER
+NUMBER = r"([0-9][0-9,]*(?:\.[0-9]+)?(?:\s*(?:[Mm][Ii][Ll][Ll][Ii][Oo][Nn]|[Mm][Mm]|[KMkm])\b)?)"
+AMOUNT = r"(?:USD\s*)?\$?\s*" + NUMBER + r"(?:\s*USD)?"
 LAYER = AMOUNT + r"\s+(?:excess of|xs|x/s)\s+" + AMOUNT
 DOLLARS = r"\$\s*" + NUMBER
 WAITING = r"^\s*([0-9]+(?:\.[0-9]+)?)\s*(hour|day)s?\s*$"
+# Wordings that state that there is no limit of its own.
+STATED_NONE = ("included", "none", "n/a", "not applicable", "nil", "no limit", "unlimited")
 SUBLIMIT_TYPES = ("sublimit", "extension", "special limit")
 # Lower bounds of the confidence bands.
 BANDS = ((0.95, "explicit"), (0.75, "clear"), (0.50, "partial"))
@@ -30,7 +32,9 @@ def _group(text: Column, pattern: str, group: int) -> Column:
 def _amount(text: Column, pattern: str, group: int = 1) -> Column:
     """The amount in a group of the pattern, with its unit written as an exponent for the cast."""
     digits = F.translate(F.upper(_group(text, pattern, group)), ", \t\n\r", "")
-    return F.replace(F.replace(digits, F.lit("M"), F.lit("E6")), F.lit("K"), F.lit("E3")).try_cast("double")
+    for unit, exponent in (("MILLION", "E6"), ("MM", "E6"), ("M", "E6"), ("K", "E3")):
+        digits = F.replace(digits, F.lit(unit), F.lit(exponent))
+    return digits.try_cast("double")
 
 
 def money(text: Column) -> Column:
@@ -60,14 +64,24 @@ def _read_amounts(raw: DataFrame, days_as: str) -> DataFrame:
     )
 
 
+def _states_nothing(text: Column) -> Column:
+    return F.coalesce(F.lower(F.trim(text)).isin("", *STATED_NONE), F.lit(True))
+
+
 def _rules() -> list[tuple[Column, str]]:
-    limit = F.coalesce("layer_limit", "plain_limit")
+    unread = F.coalesce("layer_limit", "plain_limit").isNull()
+    deductible, read = F.col("deductible_text"), F.coalesce("waiting", "priced")
+    no_aggregate = money(F.col("aggregate_text")).isNull() & ~_states_nothing(F.col("aggregate_text"))
     return [
         (F.col("plain_limit").isNotNull(), "money"),
         (F.col("layer_limit").isNotNull(), "layer"),
         (F.col("waiting").isNotNull(), "waiting"),
         (F.col("percent") & F.col("priced").isNull(), "percent_only"),
-        (limit.isNull(), "no_limit"),
+        (unread & _states_nothing(F.col("limit_text")), "no_limit"),
+        (unread & ~_states_nothing(F.col("limit_text")), "unreadable_limit"),
+        (no_aggregate, "unreadable_aggregate"),
+        (read.isNull() & ~F.col("percent") & ~_states_nothing(deductible), "unreadable_deductible"),
+        (F.col("attachment").isNotNull() & read.isNotNull(), "layer_and_deductible"),
         (_is_sublimit(), "sublimit"),
     ]
 
@@ -79,7 +93,9 @@ def _is_sublimit() -> Column:
 def normalize_coverages(raw: DataFrame, days_as: str = "number") -> DataFrame:
     """Typed limits, deductible and sublimit flag next to the texts, and the names of the rules used.
 
-    Reads limit_text, aggregate_text, deductible_text and coverage_type.
+    Reads limit_text, aggregate_text, deductible_text and coverage_type. A text that no rule reads is said to be
+    unreadable, not missing. Where a layer's attachment and a deductible are both stated, the attachment is the
+    retention and ``stated_deductible`` keeps the other.
     """
     read = _read_amounts(raw, days_as)
     return read.select(
@@ -87,6 +103,7 @@ def normalize_coverages(raw: DataFrame, days_as: str = "number") -> DataFrame:
         F.coalesce("layer_limit", "plain_limit").alias("limit_amount"),
         money(F.col("aggregate_text")).alias("aggregate_limit"),
         F.coalesce("attachment", "waiting", "priced").alias("deductible_or_retention"),
+        F.coalesce("waiting", "priced").alias("stated_deductible"),
         _is_sublimit().alias("is_sublimit"),
         F.array_compact(F.array(*[F.when(used, F.lit(name)) for used, name in _rules()])).alias("rules"),
     )

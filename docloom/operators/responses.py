@@ -106,9 +106,10 @@ def clean_responses(responses: DataFrame, model_name: str, processed_at: str, ru
     """Response rows to model-output rows plus the flags ``was_truncated`` and ``was_repaired``.
 
     Input columns: file_name, file_path, page_count, request_chars, response_json, call_error. Every row
-    yields a row; one that cannot be used has status FAILED, its message and the content if it was read.
+    yields a row; ``part_no`` is carried where it is given. One that cannot be used has status FAILED, its message and the content if it was read.
     """
-    keys = ["file_name", "file_path", "page_count", "request_chars", "response_json", "call_error"]
+    part = [c for c in ("part_no",) if c in responses.columns]
+    keys = ["file_name", "file_path", "page_count", "request_chars", "response_json", "call_error", *part]
     envelopes = responses.select(*keys).withColumn("doc", F.try_parse_json("response_json"))
     contents = _content_v1(envelopes) if rules == "v1" else _content_v2(envelopes)
     cut, cut_problem = _truncation(F.col("doc"), rules)
@@ -117,6 +118,7 @@ def clean_responses(responses: DataFrame, model_name: str, processed_at: str, ru
     )
     read = contents.select(
         *keys[:4],
+        *part,
         cut.alias("was_truncated"),
         no_envelope.alias("call_problem"),
         F.coalesce(no_envelope, F.col("content_error")).alias("read_problem"),
@@ -146,9 +148,10 @@ def clean_responses(responses: DataFrame, model_name: str, processed_at: str, ru
         F.lit(processed_at).alias("processed_at"),
         F.coalesce(F.col("was_truncated"), F.lit(False)).alias("was_truncated"),
         F.coalesce(F.col("other.repaired"), F.lit(False)).alias("was_repaired"),
+        *part,
     )
 
 
 def model_output(cleaned: DataFrame) -> DataFrame:
-    """The ten columns of the model-output table."""
-    return cleaned.to(MODEL_OUTPUT)
+    """The ten columns of the model-output table, and ``part_no`` where the requests had parts."""
+    return cleaned.select(*MODEL_OUTPUT.names, *[c for c in ("part_no",) if c in cleaned.columns])

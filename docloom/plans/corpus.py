@@ -62,10 +62,12 @@ def page_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pages of the readable documents, one row each."""
-    readable = page_arrays(spark, sf_dir).filter(F.col("error").isNull())
-    return readable.select("file_name", "file_path", F.posexplode("pages").alias("pos", "page")).select(
-        "file_name", "file_path", (F.col("pos") + 1).alias("page_no"), "page.page_text", "page.error"
+    """One row for each page, and for each document that could not be read one row without a page number."""
+    readable = F.when(F.col("error").isNull(), F.col("pages"))
+    rows = page_arrays(spark, sf_dir).select("file_name", "file_path", "error", F.posexplode_outer(readable).alias("pos", "page"))
+    return rows.select(
+        "file_name", "file_path", (F.col("pos") + 1).alias("page_no"), "page.page_text",
+        F.coalesce("page.error", "error").alias("error"),
     )
 
 
@@ -279,6 +281,8 @@ def textual_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(wording == 5, F.lit("Included"))
         .when(wording == 7, F.concat(count, F.lit("K excess of "), line, F.lit("K")))
         .when(wording == 8, F.lit("see schedule"))
+        .when(wording == 2, F.concat(F.lit("USD "), count, F.lit(".5 million")))
+        .when(wording == 3, F.concat(F.lit("$"), count, F.lit("MM")))
         .otherwise(price)
     )
     deductible = (
@@ -287,6 +291,8 @@ def textual_coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(wording == 4, F.lit("5%"))
         .when(wording == 6, F.concat(F.lit("2% subject to $"), F.format_number(F.col("l_quantity") * 1000, 0), F.lit(" minimum")))
         .when(wording == 8, F.concat(F.lit("$ "), count, F.lit(",000")))
+        .when(wording == 7, F.concat(count, F.lit(",000 USD")))
+        .when(wording == 5, F.lit("30 days waiting"))
     )
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"

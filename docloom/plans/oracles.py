@@ -5,7 +5,7 @@ from __future__ import annotations
 from docloom.operators import requests
 from docloom.operators.elements import NO_CONTENT, PARSE_FAILURE, PARSER_FAILURE
 from docloom.operators.normalize import SUBLIMIT_TYPES
-from docloom.plans.queries import CHOSEN_FILE, LISTED, MODEL, RUN_TIME
+from docloom.plans.queries import CHOSEN_FILE, LISTED, MODEL, PART_CHARS, RUN_TIME
 from docloom.schemas import COVERAGE_TYPES, INCLUDED_STATES, POLICY_TYPES, SECTION_TYPES
 
 
@@ -62,15 +62,30 @@ result AS (
   FROM docs LEFT JOIN whole USING (doc_id))"""
 
 
-def _requests(prompts: dict[str, str], keep_failed: bool, system: bool) -> str:
+# Fixed value: the most characters of one request.
+_MOST = 120_000
+
+
+def _part(text: str, most: int = _MOST) -> str:
+    return f"substr({text}, p * {most} + 1, {most})"
+
+
+def _part_numbers(text: str, most: int = _MOST) -> str:
+    return f"unnest(range(0, greatest(1, CAST(ceil(length({text}) / {most}) AS BIGINT)))) AS p"
+
+
+def _requests(prompts: dict[str, str], keep_failed: bool, system: bool, most: int = _MOST) -> str:
     rows = ", ".join(f"({_text(name)}, {_text(body)})" for name, body in prompts.items())
     body = "CASE WHEN doc_id % 50 <> 49 THEN policy_text END" if keep_failed else "policy_text"
     return f"""WITH {_PAGED}, body AS (
-  SELECT file_path, page_count, substr(coalesce({body}, ''), 1, {requests.MAX_CHARS}) AS body
-  FROM whole {"" if keep_failed else "WHERE doc_id % 50 <> 49"}),
+  SELECT *, {_part("whole_body", most)} AS body FROM (
+    SELECT file_path, page_count, whole_body, {_part_numbers("whole_body", most)} FROM (
+      SELECT file_path, page_count, coalesce({body}, '') AS whole_body
+      FROM whole {"" if keep_failed else "WHERE doc_id % 50 <> 49"}))),
 choice(variant, template) AS (VALUES {rows}),
 filled AS (SELECT *, replace(template, '{requests.PLACEHOLDER}', body) AS prompt FROM body, choice)
 SELECT file_path, {"CAST(NULL AS INTEGER) AS" if system else ""} page_count, variant,
+       CAST(p + 1 AS INTEGER) AS part_no, CAST(greatest(1, ceil(length(whole_body) / {most})) AS INTEGER) AS part_count,
        CAST(length(body) AS BIGINT) AS request_chars, md5(prompt) AS prompt_md5,
        CAST({len(requests.SYSTEM_MESSAGE) if system else "length(prompt)"} AS INTEGER) AS first_message_chars
 FROM filled"""
@@ -233,9 +248,14 @@ SELECT prompt_stage, status, count(*) AS calls, CAST(sum(input_tokens) AS BIGINT
        CAST(sum(CAST(cost_estimate_usd AS DECIMAL(18, 6))) AS DOUBLE) AS cost_usd
 FROM log GROUP BY ROLLUP (prompt_stage, status)"""
 
-_MOCK_PROMPT = f"replace({_text(requests.PROMPTS['baseline'])}, '{requests.PLACEHOLDER}', substr(text, 1, {requests.MAX_CHARS}))"
-_MOCK_RUN = f"""WITH {_DOCS}, t AS (SELECT file_path, greatest(1, length({_MOCK_PROMPT}) // 4) AS tokens_in FROM docs)
-SELECT file_path, CAST(tokens_in AS INTEGER) AS input_tokens, 14 AS output_tokens, 'mock' AS model_used,
+_CALLS = f"""WITH {_DOCS}, call AS (
+  SELECT file_path, CAST(p + 1 AS INTEGER) AS part_no, CAST(length({_part("text", PART_CHARS)}) AS BIGINT) AS n
+  FROM (SELECT *, {_part_numbers("text", PART_CHARS)} FROM docs))"""
+_MOCK_PROMPT = f"replace({_text(requests.PROMPTS['baseline'])}, '{requests.PLACEHOLDER}', {_part('text')})"
+_MOCK_RUN = f"""WITH {_DOCS}, t AS (
+  SELECT file_path, CAST(p + 1 AS INTEGER) AS part_no, greatest(1, length({_MOCK_PROMPT}) // 4) AS tokens_in
+  FROM (SELECT *, {_part_numbers("text")} FROM docs))
+SELECT file_path, part_no, CAST(tokens_in AS INTEGER) AS input_tokens, 14 AS output_tokens, 'mock' AS model_used,
        {_cost("tokens_in", "0")} AS cost_estimate_usd, 'declarations' AS stage FROM t"""
 
 # Contracts
@@ -278,26 +298,31 @@ SELECT coverage_section, count(*) AS coverage_count, CAST(sum(filled) AS BIGINT)
 _TYPED = f"""typed AS (
   SELECT {_ORDER_FILE.format("l_orderkey")}, 'Part ' || l_partkey AS coverage_name, l_partkey % 9 AS w,
          CASE l_partkey % 9 WHEN 1 THEN l_quantity * 1e6 WHEN 5 THEN NULL WHEN 7 THEN l_quantity * 1e3 WHEN 8 THEN NULL
-              ELSE l_extendedprice END AS limit_amount,
+              WHEN 2 THEN (l_quantity + 0.5) * 1e6 WHEN 3 THEN l_quantity * 1e6 ELSE l_extendedprice END AS limit_amount,
          CASE WHEN l_returnflag = 'N' THEN l_extendedprice END AS aggregate_limit,
          CASE l_partkey % 9 WHEN 1 THEN l_linenumber * 1e6 WHEN 2 THEN l_quantity WHEN 3 THEN l_quantity
               WHEN 6 THEN l_quantity * 1e3 WHEN 7 THEN l_linenumber * 1e3 WHEN 8 THEN l_quantity * 1e3 END
            AS deductible_or_retention,
+         CASE l_partkey % 9 WHEN 2 THEN l_quantity WHEN 3 THEN l_quantity WHEN 6 THEN l_quantity * 1e3
+              WHEN 7 THEN l_quantity * 1e3 WHEN 8 THEN l_quantity * 1e3 END AS stated_deductible,
          {_pick(COVERAGE_TYPES, "l_linenumber % 6 + 1")} IN ({_words(SUBLIMIT_TYPES)}) AS is_sublimit
   FROM lineitem)"""
 _NORMALIZED = f"""WITH {_TYPED}
-SELECT file_path, coverage_name, limit_amount, aggregate_limit, deductible_or_retention, is_sublimit,
+SELECT file_path, coverage_name, limit_amount, aggregate_limit, deductible_or_retention, stated_deductible, is_sublimit,
        CASE WHEN limit_amount IS NOT NULL OR aggregate_limit IS NOT NULL THEN NULL
             WHEN deductible_or_retention IS NOT NULL THEN '{INCLUDED_STATES[2]}'
             WHEN is_sublimit THEN '{INCLUDED_STATES[1]}' ELSE '{INCLUDED_STATES[0]}' END AS included_state,
        concat_ws(',', CASE WHEN w NOT IN (1, 5, 7, 8) THEN 'money' END, CASE WHEN w IN (1, 7) THEN 'layer' END,
                  CASE WHEN w IN (2, 3) THEN 'waiting' END, CASE WHEN w = 4 THEN 'percent_only' END,
-                 CASE WHEN w IN (5, 8) THEN 'no_limit' END, CASE WHEN is_sublimit THEN 'sublimit' END) AS rules
+                 CASE WHEN w = 5 THEN 'no_limit' END, CASE WHEN w = 8 THEN 'unreadable_limit' END,
+                 CASE WHEN w = 5 THEN 'unreadable_deductible' END, CASE WHEN w = 7 THEN 'layer_and_deductible' END, CASE WHEN is_sublimit THEN 'sublimit' END) AS rules
 FROM typed"""
 _RULES = f"""WITH {_TYPED}, used AS (
   SELECT 'money' AS rule FROM typed WHERE w NOT IN (1, 5, 7, 8) UNION ALL SELECT 'layer' FROM typed WHERE w IN (1, 7)
   UNION ALL SELECT 'waiting' FROM typed WHERE w IN (2, 3) UNION ALL SELECT 'percent_only' FROM typed WHERE w = 4
-  UNION ALL SELECT 'no_limit' FROM typed WHERE w IN (5, 8) UNION ALL SELECT 'sublimit' FROM typed WHERE is_sublimit)
+  UNION ALL SELECT 'no_limit' FROM typed WHERE w = 5 UNION ALL SELECT 'unreadable_limit' FROM typed WHERE w = 8
+  UNION ALL SELECT 'unreadable_deductible' FROM typed WHERE w = 5
+  UNION ALL SELECT 'layer_and_deductible' FROM typed WHERE w = 7 UNION ALL SELECT 'sublimit' FROM typed WHERE is_sublimit)
 SELECT rule, count(*) AS coverage_count FROM used GROUP BY rule"""
 _CONFIDENCE = f"""WITH {_coverage_rows("v1")}, banded AS (
   SELECT length(line) % 101 AS c FROM found)
@@ -340,7 +365,7 @@ def _stub(rules: str) -> str:
     )
     return f"""WITH {_DOCS}
 SELECT file_name, file_path, CAST({count} AS INTEGER) AS page_count,
-       CAST(least(length(text), {requests.MAX_CHARS}) AS BIGINT) AS request_chars, 'STUB' AS model_name,
+       CAST(length(text) AS BIGINT) AS request_chars, 'STUB' AS model_name,
        'SUCCESS' AS extraction_status, {_text(output)} AS model_output_json, {_text(raw)} AS raw_model_response,
        CAST(NULL AS VARCHAR) AS error_message, '{RUN_TIME}' AS processed_at FROM docs"""
 
@@ -355,20 +380,37 @@ FROM (SELECT *, doc_id % 50 <> 49 AS good FROM whole)"""
         "file_listing": _listing(""),
         "file_listing_capped": _listing(f"ORDER BY file_path LIMIT {LISTED}"),
         "page_text_arrays": pages,
-        "page_text_pages": f"""WITH {_PAGED}
-SELECT file_name, file_path, page_count, policy_text,
-       'SUCCESS' AS extraction_status, CAST(NULL AS VARCHAR) AS error_message FROM whole WHERE doc_id % 50 <> 49""",
+        "page_text_pages": pages,
+        "variant_documents": f"""WITH {_ELEMENTS}
+SELECT file_name, file_path, page_count, md5(policy_text) AS policy_text, extraction_status,
+       CASE WHEN error_message LIKE '%Expecting value%' THEN {_text("No text-like content returned by ai_parse_document")}
+            ELSE error_message END AS error_message FROM result""",
         "page_text_elements": f"WITH {_ELEMENTS} SELECT * FROM result",
         "document_status": f"""WITH {_ELEMENTS}
 SELECT extraction_status, error_message, count(*) AS document_count, CAST(sum(page_count) AS BIGINT) AS page_total
 FROM result GROUP BY ALL""",
         "request_build": _requests({"baseline": requests.PROMPTS["baseline"]}, keep_failed=True, system=True),
         "request_variants": _requests(requests.PROMPTS, keep_failed=False, system=False),
+        "request_parts": _requests({"baseline": requests.PROMPTS["baseline"]}, True, True, PART_CHARS),
+        "request_parts_pages": _requests({"baseline": requests.PROMPTS["baseline"]}, False, False, PART_CHARS),
         "stub_run_v1": _stub("v1"),
         "stub_run_v2": _stub("v2"),
         "replay_run": f"""WITH {_DOCS}, {_outcome("v2")}
-SELECT file_path, CAST(len(parts) AS INTEGER) AS page_count, CAST(least(length(text), {requests.MAX_CHARS}) AS BIGINT) AS request_chars,
-       extraction_status, was_repaired FROM outcome""",
+SELECT file_path, CAST(len(parts) AS INTEGER) AS page_count, CAST(p + 1 AS INTEGER) AS part_no,
+       CAST(length({_part("text")}) AS BIGINT) AS request_chars,
+       CASE WHEN p = 0 THEN extraction_status ELSE 'FAILED' END AS extraction_status, p = 0 AND was_repaired AS was_repaired
+FROM (SELECT *, {_part_numbers("text")} FROM outcome)""",
+        "completion_run": f"""{_CALLS}
+SELECT file_path, part_no, n AS request_chars, CASE WHEN n % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS extraction_status,
+       CASE WHEN n % 7 <> 0 THEN '{{"policy": {{"policy_number": "' || n || '"}}}}' END AS model_output_json,
+       CASE WHEN n % 7 = 0 THEN 'no capacity' END AS error_message FROM call""",
+        "policy_of_parts": f"""{_CALLS}
+SELECT file_path, arg_min(CAST(n AS VARCHAR), part_no) AS policy_number FROM call WHERE n % 7 <> 0 GROUP BY file_path""",
+        "reported_usage": f"""{_CALLS}, used AS (
+  SELECT *, CAST(CASE WHEN n % 7 = 0 THEN greatest(1, n // 4) ELSE n END AS INTEGER) AS input_tokens,
+         CASE WHEN n % 7 = 0 THEN 0 ELSE 5 END AS output_tokens FROM call)
+SELECT file_path, part_no, input_tokens, output_tokens, '{MODEL}' AS model_used,
+       {_cost("input_tokens", "output_tokens")} AS cost_estimate_usd, 'extraction' AS stage FROM used""",
         "mock_run": _MOCK_RUN,
         "response_status_v1": _status("v1"),
         "response_status_v2": _status("v2"),

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.operators import compare, contracts, dashboard, entities, normalize, pages, requests, responses, usage
-from docloom.operators.completion import complete_mock, complete_replay
+from docloom.operators.completion import complete, complete_mock, complete_replay
 from docloom.operators.elements import assemble_elements
 from docloom.plans import corpus
 from docloom.session import stage
-from docloom.sources.files import list_documents
+from docloom.sources.files import list_documents, parsed_json
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TIME = "2026-01-01T00:00:00"
 MODEL = "replay"
 LISTED = 100
+PART_CHARS = 700
 CHOSEN_FILE = "policy_7.pdf"
 _ALL: dict[str, Query] = {}
 
@@ -63,6 +65,13 @@ def page_text_elements(spark, sf_dir):
     return assemble_elements(corpus.parsed_documents(spark, sf_dir))
 
 
+@_query
+def variant_documents(spark, sf_dir):
+    """Parser output as VARIANT, through JSON text, to marked text."""
+    parsed = corpus.parsed_documents(spark, sf_dir).withColumn("parsed_doc", F.try_parse_json("parsed_doc_json"))
+    return assemble_elements(parsed_json(parsed)).withColumn("policy_text", F.md5("policy_text"))
+
+
 @_query
 def document_status(spark, sf_dir):
     texts = assemble_elements(corpus.parsed_documents(spark, sf_dir))
@@ -76,7 +85,7 @@ def document_status(spark, sf_dir):
 
 def _request_summary(built: DataFrame) -> DataFrame:
     return built.select(
-        "file_path", "page_count", "variant", "request_chars", F.md5("prompt").alias("prompt_md5"),
+        "file_path", "page_count", "variant", "part_no", "part_count", "request_chars", F.md5("prompt").alias("prompt_md5"),
         F.length(F.get_json_object("request_json", "$.messages[0].content")).alias("first_message_chars"),
     )
 
@@ -89,8 +98,21 @@ def request_build(spark, sf_dir):
 
 @_query
 def request_variants(spark, sf_dir):
-    starts = pages.assemble_page_starts(corpus.page_table(spark, sf_dir), requests.MAX_CHARS)
-    return _request_summary(requests.build_requests(pages.successful(starts), requests.PROMPTS, rules="v2"))
+    parts = pages.page_parts(corpus.page_table(spark, sf_dir), requests.MAX_CHARS)
+    return _request_summary(requests.requests_of_parts(parts, requests.PROMPTS, rules="v2"))
+
+
+@_query
+def request_parts(spark, sf_dir):
+    """Small parts, so that many documents have several."""
+    texts = pages.every_document(pages.assemble_page_arrays(corpus.page_arrays(spark, sf_dir)))
+    return _request_summary(requests.build_requests(texts, max_chars=PART_CHARS))
+
+
+@_query
+def request_parts_pages(spark, sf_dir):
+    """The same parts made from the page table, without a document's text in one group."""
+    return _request_summary(requests.requests_of_parts(pages.page_parts(corpus.page_table(spark, sf_dir), PART_CHARS), rules="v2"))
 
 
 # Completion and cleaning
@@ -118,7 +140,45 @@ def replay_run(spark, sf_dir):
     stored = corpus.stored_responses(spark, sf_dir).withColumn("variant", F.lit("baseline"))
     answered = complete_replay(built, stored)
     cleaned = responses.clean_responses(answered, MODEL, RUN_TIME, "v2")
-    return cleaned.select("file_path", "page_count", "request_chars", "extraction_status", "was_repaired")
+    return cleaned.select("file_path", "page_count", "part_no", "request_chars", "extraction_status", "was_repaired")
+
+
+def _scripted(request: dict) -> dict:
+    """A model that answers with the length of what it is asked, and has no capacity for every seventh length."""
+    length = len(request["messages"][-1]["content"])
+    if length % 7 == 0:
+        raise RuntimeError("no capacity")
+    body = json.dumps({"policy": {"policy_number": str(length)}})
+    return {"choices": [{"message": {"content": body}}], "usage": {"prompt_tokens": length, "completion_tokens": 5}}
+
+
+def _calls(spark, sf_dir):
+    built = requests.build_requests(_texts(spark, sf_dir), {"only": requests.PLACEHOLDER}, max_chars=PART_CHARS)
+    return complete(built, _scripted, stage="extraction")
+
+
+@_query
+def completion_run(spark, sf_dir):
+    """Calls inside the tasks, some of which fail, to model output."""
+    return responses.model_output(responses.clean_responses(_calls(spark, sf_dir), MODEL, RUN_TIME)).select(
+        "file_path", "part_no", "request_chars", "extraction_status", "model_output_json", "error_message"
+    )
+
+
+@_query
+def policy_of_parts(spark, sf_dir):
+    """One policy row per document, from the answers to all its parts."""
+    output = responses.model_output(responses.clean_responses(_calls(spark, sf_dir), MODEL, RUN_TIME))
+    return entities.policies(entities.parse_output(output)).select("file_path", "policy_number")
+
+
+@_query
+def reported_usage(spark, sf_dir):
+    """Tokens as the model reports them in place of estimates."""
+    settings = usage.ModelSettings(endpoint="https://example.org", deployment_name=MODEL)
+    return usage.account(_calls(spark, sf_dir), settings).select(
+        "file_path", "part_no", "input_tokens", "output_tokens", "model_used", "cost_estimate_usd", "stage"
+    )
 
 
 @_query
@@ -126,7 +186,7 @@ def mock_run(spark, sf_dir):
     built = requests.build_requests(_texts(spark, sf_dir))
     calls = complete_mock(built, {"policy_number": "TEST-001", "carrier": "Test Carrier"}, "declarations")
     return usage.account(calls, usage.ModelSettings(mock=True)).select(
-        "file_path", "input_tokens", "output_tokens", "model_used", "cost_estimate_usd", "stage"
+        "file_path", "part_no", "input_tokens", "output_tokens", "model_used", "cost_estimate_usd", "stage"
     )
 
 
@@ -315,8 +375,8 @@ def completeness(spark, sf_dir):
 def normalized_coverages(spark, sf_dir):
     typed = normalize.normalize_coverages(corpus.textual_coverages(spark, sf_dir))
     return normalize.with_included_state(typed).select(
-        "file_path", "coverage_name", "limit_amount", "aggregate_limit", "deductible_or_retention", "is_sublimit",
-        "included_state", F.array_join("rules", ",").alias("rules"),
+        "file_path", "coverage_name", "limit_amount", "aggregate_limit", "deductible_or_retention",
+        "stated_deductible", "is_sublimit", "included_state", F.array_join("rules", ",").alias("rules"),
     )
 
 

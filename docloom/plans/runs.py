@@ -65,7 +65,7 @@ def run_extraction(
     texts = pages.successful(saved_text) if options.rules == "v2" else pages.every_document(saved_text)
     texts.createOrReplaceTempView(names.texts)
     if completer is None:
-        output = requests.stub_run(texts, moment, options.rules, options.max_chars)
+        output = requests.stub_run(texts, moment, options.rules)
     else:
         answered = answer(texts, completer, options)
         cleaned = responses.clean_responses(answered, settings.model_used, moment, options.rules)

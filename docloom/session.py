@@ -24,6 +24,7 @@ def local_session(app_name: str = "docloom", cpus: int | str = "*", shuffle_part
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "12g")
+        .config("docloom.partitions", str(shuffle_partitions))
         # Call sites in error messages cost a third of the time it takes to build a large query.
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
     )

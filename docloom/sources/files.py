@@ -20,7 +20,7 @@ def read_files(spark: SparkSession, folder: str) -> DataFrame:
 def list_documents(files: DataFrame, max_files: int | None = None) -> DataFrame:
     """Document rows of a listing with a ``path`` column; other columns are kept.
 
-    The cap keeps the first files by path, as a top-k, so repeated runs agree.
+    The cap is a feature of its own, for trials: the first files by path, as a top-k. Whole runs leave it out.
     """
     documents = files.filter(F.lower("path").endswith(".pdf"))
     if max_files is not None:

@@ -23,6 +23,9 @@ def run_query(spark: SparkSession, sql: str, **params: object) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when the input is a few small files; a large scan has more partitions and stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """Deal the rows out to as many partitions as the session's setting ``docloom.partitions`` says; unset, do nothing.
+
+    For small inputs in one file, on one machine. A cluster leaves it unset.
+    """
+    partitions = df.sparkSession.conf.get("docloom.partitions", None)
+    return df.repartition(int(partitions)) if partitions else df

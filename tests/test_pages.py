@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docloom.operators.elements import assemble_elements
-from docloom.operators.pages import SPAN, assemble_page_arrays, assemble_page_starts, assemble_pages, every_document, successful
+from docloom.operators.pages import SPAN, assemble_page_arrays, assemble_pages, every_document, page_parts, successful
 from docloom.schemas import PAGE_TABLE, RAW_TEXT
 
 
@@ -103,13 +103,24 @@ def test_page_table_and_arrays_agree(spark):
         assert {r.file_name: (r.policy_text, r.page_count) for r in result.collect()} == whole
 
 
-@pytest.mark.parametrize("cap", [1, 10, 41, 42, 43, 100, 500, 1000, 100000])
-def test_capped_page_table_is_an_exact_prefix(spark, cap):
+@pytest.mark.parametrize("most", [1, 10, 43, 500, 100000])
+def test_parts_of_the_page_table_join_to_the_text(spark, most):
     rows = [(n, f"/p/{n}", i, t, e) for n, pages in DOCS.items() for i, (t, e) in enumerate(pages, 1)]
-    result = assemble_page_starts(spark.createDataFrame(rows, PAGE_TABLE), cap).collect()
-    assert {r.file_name: (r.policy_text, r.page_count) for r in result} == {
-        name: (marked(pages)[:cap], len(pages)) for name, pages in DOCS.items()
-    }
+    rows += [("gone.pdf", "/p/gone.pdf", None, None, "damaged"), ("none.pdf", "/p/none.pdf", None, None, None)]
+    table = spark.createDataFrame(rows, PAGE_TABLE)
+    found = {}
+    for row in page_parts(table, most).orderBy("file_name", "part_no").collect():
+        found.setdefault(row.file_name, []).append(row)
+    for name, pages in DOCS.items():
+        parts = found.pop(name)
+        assert "".join(r.body for r in parts) == marked(pages)
+        assert [r.part_no for r in parts] == list(range(1, parts[0].part_count + 1))
+        assert all(len(r.body) == most for r in parts[:-1]) and 0 < len(parts[-1].body) <= most
+        assert {r.page_count for r in parts} == {len(pages)}
+    assert not found
+    whole = {r.file_name: r for r in assemble_pages(table).collect()}
+    assert (whole["gone.pdf"].extraction_status, whole["gone.pdf"].error_message) == ("FAILED", "damaged")
+    assert (whole["none.pdf"].extraction_status, whole["none.pdf"].policy_text, whole["none.pdf"].page_count) == ("SUCCESS", "", 0)
 
 
 def test_failed_documents(spark):

@@ -21,9 +21,13 @@ JSON_JUDGES = {
 def test_plan(spark, name):
     plan = all_queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Window", "BatchEvalPython", "SinglePartition"):
-        assert operator not in plan or (operator == "SinglePartition" and name in ("output_count", "normalization_report"))
+        assert (
+            operator not in plan
+            or (operator == "SinglePartition" and name in ("output_count", "normalization_report"))
+            or (operator == "Window" and name in ("request_variants", "request_parts_pages"))  # numbers of pages only
+        )
     assert len(re.findall("ArrowEvalPython", plan)) <= (2 if name in ("truncation_report", "variant_compare") else 1)
-    assert ("ArrowEvalPython" in plan) == (name in JSON_JUDGES)
+    assert ("ArrowEvalPython" in plan) == (name in JSON_JUDGES | {"completion_run", "policy_of_parts", "variant_documents"})
 
 
 def test_filters_and_columns_reach_the_saved_tables(spark, tmp_path):

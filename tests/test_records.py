@@ -109,12 +109,15 @@ ROWS = [
     # limit, deductible, days_as hours -> limit, deductible, rules
     ("$5M xs $2M", None, 5e6, 2e6, ["layer"]),
     ("$5,000,000 excess of $5,000,000 each claim", None, 5e6, 5e6, ["layer"]),
-    ("10M x/s 500K", "24 hours", 10e6, 500e3, ["layer", "waiting"]),
+    ("10M x/s 500K", "24 hours", 10e6, 500e3, ["layer", "waiting", "layer_and_deductible"]),
     ("$100", "72 hours", 100.0, 72.0, ["money", "waiting"]),
     ("$100", "3 days", 100.0, 72.0, ["money", "waiting"]),
     ("$100", "5%", 100.0, None, ["money", "percent_only"]),
     ("$100", "5% subject to a $50,000 minimum", 100.0, 50000.0, ["money"]),
     ("Included", "$25,000", None, 25000.0, ["no_limit"]),
+    ("USD 1.5 million", "10,000 USD", 1.5e6, 10e3, ["money"]),
+    ("$2MM", "30 days waiting", 2e6, None, ["money", "unreadable_deductible"]),
+    ("See form CP-10", None, None, None, ["unreadable_limit"]),
     (None, None, None, None, ["no_limit"]),
 ]
 
@@ -128,8 +131,13 @@ def test_normalize_coverages(spark):
     assert [(r.limit_amount, r.deductible_or_retention, r.rules) for r in rows] == [tuple(row[2:]) for row in ROWS]
     assert normalize.normalize_coverages(raw).filter("i = 4").first().deductible_or_retention == 3.0
     report = {r.rule: r.coverage_count for r in normalize.rule_report(raw).collect()}
-    assert report == {"money": 4, "layer": 3, "waiting": 3, "percent_only": 1, "no_limit": 2}
-    assert [r.included_state for r in normalize.with_included_state(normalize.normalize_coverages(raw)).orderBy("i").collect()][-2:] == [
+    assert report == {
+        "money": 6, "layer": 3, "waiting": 3, "percent_only": 1, "no_limit": 2, "unreadable_limit": 1,
+        "unreadable_deductible": 1, "layer_and_deductible": 1,
+    }
+    both = normalize.normalize_coverages(raw, "hours").filter("i = 2").first()
+    assert (both.deductible_or_retention, both.stated_deductible) == (500e3, 24.0)
+    assert [r.included_state for r in normalize.with_included_state(normalize.normalize_coverages(raw)).orderBy("i").collect()][-5::4] == [
         "COVERED_WITH_DEDUCTIBLE", "INHERIT_AGGREGATE",
     ]
 
