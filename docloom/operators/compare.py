@@ -11,11 +11,12 @@ def compare_coverages(first: DataFrame, second: DataFrame) -> DataFrame:
     """Coverages by file, name and section with the rows each run has.
 
     Both runs are counted in one aggregation instead of a full outer join: copies are combined before
-    the shuffle, null sections match, and no key can blow up into pairs.
+    the shuffle, null sections match, and no key can blow up into pairs. Coverages without a name match nothing and
+    count for no run, but keep their file in the result.
     """
     def side(run: DataFrame, in_first: int) -> DataFrame:
-        named = run.filter(F.col("coverage_name").isNotNull())
-        return named.select(*KEYS, F.lit(in_first).alias("a"), F.lit(1 - in_first).alias("b"))
+        named = F.col("coverage_name").isNotNull().cast("int")
+        return run.select(*KEYS, (named * in_first).alias("a"), (named * (1 - in_first)).alias("b"))
 
     both = side(first, 1).unionByName(side(second, 0))
     return both.groupBy(*KEYS).agg(F.sum("a").alias("first_rows"), F.sum("b").alias("second_rows"))

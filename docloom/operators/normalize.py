@@ -136,8 +136,10 @@ def confidence_band(confidence: Column) -> Column:
 
 
 def confidence_report(coverages: DataFrame) -> DataFrame:
+    """Coverages per band. The row of nulls that stands for a document without coverages is none."""
     band = confidence_band(F.col("coverage_confidence")).alias("band")
-    return coverages.groupBy(band).agg(F.count(F.lit(1)).alias("coverage_count"))
+    own = [F.col(c).cast("string") for c in coverages.columns if c not in ("file_name", "file_path")]
+    return coverages.filter(F.coalesce(*own).isNotNull()).groupBy(band).agg(F.count(F.lit(1)).alias("coverage_count"))
 
 
 def check_terms(policies: DataFrame) -> DataFrame:

@@ -325,7 +325,7 @@ _RULES = f"""WITH {_TYPED}, used AS (
   UNION ALL SELECT 'layer_and_deductible' FROM typed WHERE w = 7 UNION ALL SELECT 'sublimit' FROM typed WHERE is_sublimit)
 SELECT rule, count(*) AS coverage_count FROM used GROUP BY rule"""
 _CONFIDENCE = f"""WITH {_coverage_rows("v1")}, banded AS (
-  SELECT length(line) % 101 AS c FROM found)
+  SELECT length(line) % 101 AS c FROM found WHERE present)
 SELECT CASE WHEN c IS NULL THEN NULL WHEN c >= 95 THEN 'explicit' WHEN c >= 75 THEN 'clear' WHEN c >= 50 THEN 'partial'
             ELSE 'uncertain' END AS band, count(*) AS coverage_count FROM banded GROUP BY 1"""
 _TERMS = f"""WITH {_POLICY}, term AS (
@@ -347,9 +347,12 @@ _COMPARE = f"""WITH {_LINES}, side AS (
   UNION ALL
   SELECT file_path, line, lang, 0, 1 FROM lines
   WHERE pos % 11 <> 10 AND (shape IN {_FULL["v2"]} OR (shape IN {_FIRST["v2"]} AND pos = 0))),
-pair AS (SELECT file_path, line, lang, max(a) AS a, max(b) AS b FROM side GROUP BY ALL)
+pair AS (SELECT file_path, line, lang, max(a) AS a, max(b) AS b FROM side GROUP BY ALL),
+answered AS (
+  SELECT file_path FROM docs
+  WHERE shape IN {_FULL["v1"]} OR shape IN {_FIRST["v1"]} OR shape IN {_BLANK["v1"]} OR shape IN {_FULL["v2"]} OR shape IN {_FIRST["v2"]})
 SELECT file_path, count(*) FILTER (a = 1 AND b = 0) AS first_only, count(*) FILTER (b = 1 AND a = 0) AS second_only,
-       count(*) FILTER (a = 1 AND b = 1) AS in_both FROM pair GROUP BY file_path"""
+       count(*) FILTER (a = 1 AND b = 1) AS in_both FROM answered LEFT JOIN pair USING (file_path) GROUP BY file_path"""
 
 
 def _listing(tail: str) -> str:

@@ -164,7 +164,7 @@ def test_compare(spark, partitions):
     second = spark.createDataFrame([("/a", "x", "s"), ("/a", "y", None), ("/a", "w", "s")], schema)
     compared = compare_coverages(first.repartition(partitions), second.repartition(partitions))
     assert {(r.coverage_name, r.first_rows, r.second_rows) for r in compared.collect()} == {
-        ("x", 2, 1), ("y", 1, 1), ("w", 0, 1), ("z", 1, 0),
+        ("x", 2, 1), ("y", 1, 1), ("w", 0, 1), ("z", 1, 0), (None, 0, 0),
     }
     files = {r.file_path: (r.first_only, r.second_only, r.in_both) for r in compare_files(compared).collect()}
     assert files == {"/a": (0, 1, 2), "/b": (1, 0, 0)}
