@@ -199,6 +199,14 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _enough_left(rest_a: Column, rest_b: Column, both: Column, percent: int) -> Column:
+    """Whether sets that first meet here, with so many n-grams from here on, can overlap as much as they must.
+
+    Similarity t needs an overlap of t / (1 + t) of the two sizes together.
+    """
+    return (100 + percent) * F.least(rest_a, rest_b) >= percent * both
+
+
 def _apart(a: Column, b: Column) -> Column:
     """At most the size of the symmetric difference of two sets, from their sketches."""
     bits = F.lit(0)
@@ -285,7 +293,8 @@ def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
 def _cross_pairs(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """All pairs of documents of different components that share an n-gram of their prefixes and fit in size.
 
-    Components meet first, so that no pairs are made inside of a component, however many groups it has.
+    Components meet first, so that no pairs are made inside of a component, however many groups it has. Two sets are
+    only paired at an n-gram after which enough of both is left; the first one that they share is such a one.
     """
     mixed = stage(
         postings.groupBy("ngram").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
@@ -293,19 +302,27 @@ def _cross_pairs(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFra
         "mixed",
     )
     units = stage(postings.join(mixed, "ngram"), "units")
-    spans = stage(units.groupBy("ngram", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most")), "spans")
+    spans = stage(units.groupBy("ngram", "comp").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("pos")), "spans")
     met = (
-        spans.toDF("ngram", "comp_a", "least_a", "most_a").join(spans.toDF("ngram", "comp_b", "least_b", "most_b"), "ngram")
+        spans.toDF("ngram", "comp_a", "least_a", "most_a", "pos_a")
+        .join(spans.toDF("ngram", "comp_b", "least_b", "most_b", "pos_b"), "ngram")
         .filter(
             (F.col("comp_a") < F.col("comp_b")) & (100 * F.col("most_a") >= percent * F.col("least_b"))
             & (100 * F.col("most_b") >= percent * F.col("least_a"))
+            & _enough_left(
+                F.col("most_a") - F.col("pos_a"), F.col("most_b") - F.col("pos_b"), F.col("least_a") + F.col("least_b"), percent
+            )
         )
         .select("ngram", "comp_a", "comp_b")
     )
+    own = units.select("ngram", "comp", "gid", "n", "pos")
     groups = (
-        met.join(units.select("ngram", F.col("comp").alias("comp_a"), F.col("gid").alias("gid_a"), F.col("n").alias("n_a")), ["ngram", "comp_a"])
-        .join(units.select("ngram", F.col("comp").alias("comp_b"), F.col("gid").alias("gid_b"), F.col("n").alias("n_b")), ["ngram", "comp_b"])
-        .filter(_sizes_fit(F.col("n_a"), F.col("n_b"), percent))
+        met.join(own.toDF("ngram", "comp_a", "gid_a", "n_a", "pos_a"), ["ngram", "comp_a"])
+        .join(own.toDF("ngram", "comp_b", "gid_b", "n_b", "pos_b"), ["ngram", "comp_b"])
+        .filter(
+            _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
+            & _enough_left(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b"), F.col("n_a") + F.col("n_b"), percent)
+        )
         .select("gid_a", "comp_a", "gid_b", "comp_b").distinct()
     )
     members = nodes.select("gid", "comp", "node")
@@ -356,7 +373,8 @@ def ngram_join(
         .filter("k > 1").select("ngram"),
         "several",
     )
-    postings = stage(groups.select(F.explode("prefix").alias("ngram"), "gid", "n").join(several, "ngram"), "postings")
+    placed = groups.select(F.posexplode("prefix").alias("pos", "ngram"), "gid", "n")
+    postings = stage(placed.join(several, "ngram").select("ngram", "gid", "n", "pos"), "postings")
 
     # Members of a group meet its first one.
     inside = nodes.filter("node <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b"))
@@ -366,7 +384,7 @@ def ngram_join(
     def unit_postings() -> DataFrame:
         if links is None:
             return postings.withColumn("comp", F.col("gid"))
-        return postings.join(labelled.select("gid", "comp").distinct(), "gid").select("ngram", "gid", "n", "comp")
+        return postings.join(labelled.select("gid", "comp").distinct(), "gid").select("ngram", "gid", "n", "pos", "comp")
 
     for number in range(STARS + 1):
         units = unit_postings()
