@@ -22,7 +22,7 @@ NO_ID = 2**63 - 1
 # Bits of a sketch; rounds that compare each document with one other; n-grams that come last in the order, at most;
 # n-grams counted together, and the part of their documents from which on one counts as frequent.
 BITS, STARS, FREQUENT, CHUNK, PART = 1024, 2, 100_000, 1 << 21, 1000
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 20
 # Sets of more n-grams than this also get a wide sketch, of at least as many bits as they have n-grams.
 LARGE = 2048
 

@@ -29,7 +29,7 @@ VOTERS, SEEN_PART, SEEN_LEAST, SEEN_MOST, PURE = 6, 0.02, 3, 10, 0.95
 SURE = 0.02
 # Features of the linear classifier at most, the log odds that one needs, and the steps, rate and decay of learning.
 FEATURES, TELLING, PASSES, RATE, DECAY = 4096, 3.5, 500, 0.1, 1e-4
-PART_BYTES = 1 << 22
+PART_BYTES = 1 << 20
 
 _fold = np.arange(256, dtype=np.uint8)
 _fold[65:91] += 32
@@ -88,7 +88,7 @@ def matched(texts: list[bytes], known: np.ndarray) -> tuple[np.ndarray, np.ndarr
             group.append(part)
             numbers.append(i)
             size += len(part)
-            if size > PART_BYTES // 4:
+            if size > PART_BYTES // 2:
                 look(group, numbers)
                 group, numbers, size = [], [], 0
     if group:

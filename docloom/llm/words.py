@@ -10,7 +10,7 @@ import pyarrow as pa
 from tokenizers import Regex, pre_tokenizers
 
 # Characters that go through numpy at once, and rows that go through Python at once.
-CHARS, ROWS = 1 << 20, 512
+CHARS, ROWS = 1 << 19, 512
 LETTER, DIGIT, BLANK, OTHER, BETWEEN = range(5)
 CONTRACTIONS = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
 
@@ -56,7 +56,7 @@ def latin(text: str) -> bytes | None:
         return None
 
 
-def segments(text: str, size: int = 4 * CHARS) -> Iterator[str]:
+def segments(text: str, size: int = CHARS) -> Iterator[str]:
     """A text in parts of about ``size``, cut before single spaces between other characters, where words end anyway."""
     start, gap = 0, re.compile(r"(?<=[^\W_]) (?=[^\W_])")
     while len(text) - start > size:
@@ -128,7 +128,7 @@ class Memory(dict):
     When the newer half is full it becomes the older one; a word found there moves on. So frequent words stay.
     """
 
-    def __init__(self, make: Callable, size: int = 300_000):
+    def __init__(self, make: Callable, size: int = 200_000):
         super().__init__()
         self.make, self.size, self.older = make, size, {}
 

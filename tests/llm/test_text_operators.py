@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 from docloom.llm.bpe import WordBpe, decode_bpe, encode_bpe
 from docloom.llm.line_dedup import SPAN, dedup_lines
 from docloom.llm.pii import BASE, find_pii, mask_pii, running_sums
+from docloom.llm.words import segments
 from tests.llm.helpers import SCHEMA, edge_rows, frame
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -155,6 +156,17 @@ def test_bpe_random_texts(word_path):
     assert model._merge_long([*parts]) == _merge_plainly(model, parts)
 
 
+def test_parts_of_long_texts_give_the_same_ids(word_path):
+    """Texts are cut where words end anyway, for both kinds of vocabulary."""
+    text = " ".join(t for _, t in edge_rows() if t) + " don't  stop 'll 12 34 l'eau" * 20
+    parts = list(segments(text, 200))
+    assert len(parts) > 50 and "".join(parts) == text
+    for path in (word_path, public_tokenizers.path("byte_bpe_50k.json")):
+        library = Tokenizer.from_file(path)
+        whole = library.encode(text, add_special_tokens=False).ids
+        assert [i for part in parts for i in library.encode(part, add_special_tokens=False).ids] == whole
+
+
 def _merge_plainly(model, parts):
     parts = [*parts]
     while True:
