@@ -17,12 +17,22 @@ from docloom.llm.vectors import largest, matrix, over_grid, searched
 
 # Pivots, how many of them a permutation holds, and the part (with a least number) of a block that is reranked.
 PIVOTS, LENGTH, PART, LEAST = 256, 128, 0.06, 64
+# Pivots that are this many places apart on average, at most, belong to near copies, which are all reranked.
+NEAR = 4
+# Vectors that pivots are chosen from, for each pivot, and the cosine from which on two of them make one pivot: the order
+# of pivots that are near copies says nothing.
+SAMPLE, SAME = 4, 0.95
 
 
 def choose_pivots(vectors: DataFrame, width: int, pivots: int) -> np.ndarray:
-    """A bounded sample: the unit vectors of the ``pivots`` ids of smallest hash."""
-    found = vectors.orderBy(F.xxhash64("id"), "id").limit(pivots).select("vec").toArrow().column("vec")
-    return unit(matrix(found, width))
+    """From a bounded sample, the ids of smallest hash: at most ``pivots`` unit vectors that are no near copies."""
+    found = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE * pivots).select("vec").toArrow().column("vec")
+    sample = unit(matrix(found, width))
+    chosen: list[int] = []
+    for i, near in enumerate(sample @ sample.T > SAME):
+        if len(chosen) < pivots and not near[chosen].any():
+            chosen.append(i)
+    return sample[chosen]
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -74,8 +84,10 @@ def nearest(
     as ending in zeros. An empty table gives no rows.
 
     Every vector is indexed. A cell of the grid holds a block of vectors with its inverted files and a block of
-    queries, and reranks the ``part`` of its block that is foremost by footrule, but at least 64 vectors. The index is
-    fitted on ``pivots`` vectors.
+    queries, and reranks the ``part`` of its block that is foremost by footrule, but at least 64 vectors, all that tie
+    with the last of them, and all near copies of the query whatever their number. Of equal vectors of a block only the
+    ``k`` + 1 of smallest id are looked at, as no others can be among the nearest. The index is fitted on ``pivots``
+    vectors.
     """
     live = searched(vectors, id_col, vector_col).filter(F.exists("vec", lambda x: x != 0))
     width = live.agg(F.max(F.size("vec"))).first()[0] or 1
@@ -89,15 +101,18 @@ def nearest(
         found: list[tuple[np.ndarray, ...]] = []
         if len(ids) and len(sought):
             raw, asked_raw = matrix(rows.column("vec"), width), matrix(asked.column("query"), width)
+            again = max(LEAST, int(part * len(ids)))
+            kept = _foremost_copies(raw, ids, k + 1)
+            raw, ids, perms = raw[kept], ids[kept], permutations(rows.column("perm"), length)[kept]
             units, wanted = unit(raw), unit(asked_raw)
             # The files: one row for each pivot, with its place in each vector's permutation, or the length.
             files = np.full((len(chosen), len(ids)), length, dtype=np.int16)
-            files[permutations(rows.column("perm"), length), np.arange(len(ids))[:, None]] = np.arange(length, dtype=np.int16)
+            files[perms, np.arange(len(ids))[:, None]] = np.arange(length, dtype=np.int16)
             places = np.arange(length, dtype=np.int16)[:, None]
-            again = min(len(ids), max(LEAST, int(part * len(ids))))
+            again = min(len(ids), again)
             for i, perm in enumerate(permutations(asked.column("perm"), length)):
                 footrule = np.abs(files[perm] - places).sum(axis=0, dtype=np.int32)
-                front = np.argpartition(footrule, again - 1)[:again]
+                front = np.flatnonzero(footrule <= max(np.partition(footrule, again - 1)[again - 1], NEAR * length))
                 front = front[ids[front] != sought[i]]
                 rough = units[front] @ wanted[i]
                 if len(front) > k:
@@ -112,6 +127,14 @@ def nearest(
     return largest(scored, ["query_id"], "score", "vec_id", k).select("query_id", "rank", "vec_id", "score")
 
 
+def _foremost_copies(rows: np.ndarray, ids: np.ndarray, most: int) -> np.ndarray:
+    """Places of the rows that fewer than ``most`` equal rows of smaller id stand before."""
+    kind = np.unique(rows + 0.0, axis=0, return_inverse=True)[1].reshape(-1)
+    order = np.lexsort((ids, kind))
+    first = np.searchsorted(kind[order], kind[order])
+    return np.sort(order[np.arange(len(order)) - first < most])
+
+
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row, in double precision; a row's result does not depend on the other rows."""
 

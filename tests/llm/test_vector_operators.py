@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import Row, types as T
 
+from docloom.llm import vectors as grid
 from docloom.llm.ann import nearest
 from docloom.llm.topk import top_k
 
@@ -91,3 +92,32 @@ def test_nearest_few_and_none(spark):
     got = [(r.rank, r.vec_id, round(r.score, 6)) for r in nearest(frame(spark, rows), asked).orderBy("rank").collect()]
     assert got == [(1, 1, 0.707107), (2, 2, -1.0)]
     assert nearest(frame(spark, []), asked).count() == 0
+
+
+def hits(found, kept, k=5):
+    """The share of the right neighbours, ties by id, that was found."""
+    ids = np.array(sorted(kept))
+    units = np.array([kept[i] / np.linalg.norm(kept[i]) for i in ids])
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    right = 0
+    for q in got:
+        score = units @ units[np.searchsorted(ids, q)]
+        score[ids == q] = -2
+        right += len(set(ids[np.lexsort((ids, -np.round(score, 12)))[:k]].tolist()) & got[q])
+    return right / (k * len(got))
+
+
+@pytest.mark.parametrize("noise", [0.0, 1e-4, 1e-2, 1e-1])
+def test_nearest_where_a_third_are_copies(spark, monkeypatch, noise):
+    """One block of 4096, so that the reranked part is far below the third."""
+    monkeypatch.setattr(grid, "LEAST", 1)
+    rng = np.random.default_rng(3)
+    table = rng.standard_normal((4096, 64)).astype(np.float32)
+    table[1::3] = table[1] + noise * rng.standard_normal((len(table[1::3]), 64)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(table)]
+    kept = {i: np.array(v) for i, v in rows}
+    found = nearest(frame(spark, rows), lambda i: i % 50 == 25).filter("query_id % 3 = 1").collect()
+    assert len(found) == 5 * sum(i % 50 == 25 and i % 3 == 1 for i in kept)
+    assert hits(found, kept) >= (1.0 if noise == 0 else 0.95)
