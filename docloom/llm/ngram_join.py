@@ -18,7 +18,6 @@ from docloom.llm.shared import SPACE, UPPER
 from docloom.llm.words import run_hashes, small_batches
 from docloom.session import stage
 
-NO_ID = 2**63 - 1
 # Bits of a sketch; rounds that compare each document with one other; n-grams that come last in the order, at most;
 # n-grams counted together, and the part of their documents from which on one counts as frequent.
 BITS, STARS, FREQUENT, CHUNK, PART = 1024, 2, 100_000, 1 << 21, 1000
@@ -97,8 +96,14 @@ def prefix_length(size: int, percent: int) -> int:
     return size + (-percent * size) // 100 + 1 if size else 0
 
 
+def text_key(text: str) -> list[Column]:
+    """128 bits of hash of a text column, the same for equal texts: ``k1`` and ``k2``."""
+    data = F.col(text).cast("binary")
+    return [F.xxhash64(data).alias("k1"), F.xxhash64(F.lit(1), data).alias("k2")]
+
+
 def frequent_ngrams(rows: DataFrame, n: int) -> np.ndarray:
-    """N-grams of a fixed part of all documents, most frequent last; ``rows`` has id and text as binary.
+    """N-grams of a fixed part of all documents, most frequent last; ``rows`` has the text as binary in second place.
 
     An n-gram that a thousandth of all documents hold is in a thousandth of the documents of some chunk, so counting
     within chunks finds it. At most ``FREQUENT`` reach the driver. The list only sets the order in which n-grams make
@@ -135,7 +140,7 @@ def frequent_ngrams(rows: DataFrame, n: int) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """For each row: set size, 128 bits of set hash, prefix, and sketches of the set.
+    """For each row: id, text key, set size, 128 bits of set hash, prefix, and sketches of the set.
 
     A sketch holds the parities of hash buckets: ``BITS`` of them, and for large sets a second one of as many as the
     set has n-grams, at least.
@@ -168,15 +173,15 @@ def signatures(rows: DataFrame, n: int, percent: int, frequent: np.ndarray) -> D
             both = np.array(marks, dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]),
+                    batch.column(0), batch.column(2), batch.column(3), pa.array(sizes, pa.int64()), pa.array(both[:, 0]), pa.array(both[:, 1]),
                     pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefixes).view(np.int64))),
                     pa.ListArray.from_arrays(words, pa.array(np.concatenate(sketches))), pa.array(wide, pa.binary()),
                 ],
-                names=["doc", "n", "h1", "h2", "prefix", "sketch", "wide"],
+                names=["doc", "k1", "k2", "n", "h1", "h2", "prefix", "sketch", "wide"],
             )
 
     return rows.mapInArrow(
-        signed, "doc long, n long, h1 long, h2 long, prefix array<long>, sketch array<long>, wide binary"
+        signed, "doc long, k1 long, k2 long, n long, h1 long, h2 long, prefix array<long>, sketch array<long>, wide binary"
     )
 
 
@@ -243,10 +248,15 @@ def _close(pairs: DataFrame, nodes: DataFrame, wide: DataFrame, percent: int) ->
     return near.filter("not large").select("a", "b", "apart").union(large)
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, compared element by element."""
+def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, compared element by element.
+
+    ``texts`` has the key of one text of each node; however many rows hold that text, one of them is read.
+    """
     pairs = stage(pairs.select("a", "b"), "candidates")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    ids = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    chosen = texts.join(ids, "node")
+    one_each = rows.join(chosen, ["k1", "k2"]).groupBy("node").agg(F.any_value("t").alias("t"))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):
@@ -265,7 +275,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFr
                 keep.append(100 * shared >= percent * (len(one) + len(other) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    sets = stage(rows.join(ids, rows["doc"] == ids["id"], "left_semi").mapInArrow(made, "node long, grams array<long>"), "sets")
+    sets = stage(one_each.mapInArrow(made, "node long, grams array<long>"), "sets")
     joined = pairs.join(sets.toDF("b", "grams_b"), "b").join(sets.toDF("a", "grams_a"), "a")
     return stage(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(similar, "a long, b long").distinct(), "links")
 
@@ -333,40 +343,31 @@ def _cross_pairs(postings: DataFrame, nodes: DataFrame, percent: int) -> DataFra
     )
 
 
-def ngram_join(
-    documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """One row for each document: its id, ``n_shingles`` (set size) and ``component_id``.
+def linked(documents: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row for each document: ``doc`` (its id), ``k1``, ``k2`` (``text_key``), ``n`` (set size), ``comp`` and ``name``.
 
-    Two documents link if 100 * |intersection| >= ``percent`` * |union| of their sets of ``n``-word runs; documents
-    with fewer words have one run of all their words. A component is named by its smallest id. Null and empty texts and
-    texts without words have empty sets and link with nothing: they are named by their own id. Rows without an id
-    count as one document that comes last and is named by null where it stands alone. Rows of one id with different
-    texts are one document that links by any of them. Repeated rows are returned as often as they stand. Other columns
-    are not read. An empty table gives no rows.
-
-    Documents with equal sets are one class from the start. Rounds of linear size compare each class with one other
-    that shares an n-gram; only then do components, not documents, meet on n-grams, so a group of near copies makes no
-    pairs beyond its first links. The sets of classes that are compared are the only ones written.
+    ``comp`` is a number that documents of one component share, null for empty sets; ``name`` is the smallest id in it.
     """
-    rows = documents.select(F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("t"))
+    rows = documents.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("t"), *text_key(text_col))
     frequent = frequent_ngrams(rows, n)
     found = signatures(rows, n, percent, frequent)
     signed = stage(found.withColumns({"p1": F.xxhash64("prefix"), "p2": F.xxhash64(F.lit(1), "prefix")}), "signatures")
-    some = signed.filter("n > 0")
+    # A class is a node of its own number, so that neither rows without an id nor equal ids make one of two classes.
+    classes = signed.filter("n > 0").groupBy("n", "h1", "h2").agg(
+        F.min("doc").alias("doc"), F.min(F.struct("k1", "k2")).alias("key"),
+        *[F.any_value(c).alias(c) for c in ("p1", "p2", "prefix", "sketch", "wide")]
+    )
+    classes = stage(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     groups = stage(
-        some.groupBy("n", "p1", "p2").agg(
-            F.min("doc").alias("gid"), F.any_value("prefix").alias("prefix"),
-            F.when(F.min("h1") == F.max("h1"), 1).otherwise(2).alias("members"),
+        classes.groupBy("n", "p1", "p2").agg(
+            F.min("node").alias("gid"), F.any_value("prefix").alias("prefix"), F.least(F.count(F.lit(1)), F.lit(2)).alias("members")
         ),
         "groups",
     )
-    classes = some.groupBy("n", "h1", "h2").agg(
-        F.min("doc").alias("node"), *[F.any_value(c).alias(c) for c in ("p1", "p2", "sketch", "wide")]
-    )
-    keyed = stage(classes.join(groups.select("n", "p1", "p2", "gid"), ["n", "p1", "p2"]), "classes")
+    keyed = stage(classes.join(groups.select("n", "p1", "p2", "gid"), ["n", "p1", "p2"]).drop("p1", "p2", "prefix"), "keyed")
     nodes = keyed.select("node", "gid", "n", "sketch")
     wide = keyed.filter("wide is not null").select("node", "wide")
+    texts = keyed.select("node", "key.k1", "key.k2")
     # Only n-grams that several classes share can join any.
     several = stage(
         groups.select(F.explode("prefix").alias("ngram"), "members").groupBy("ngram").agg(F.sum("members").alias("k"))
@@ -394,16 +395,36 @@ def ngram_join(
             pairs = pairs.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b")
         else:
             pairs = _close(_cross_pairs(units, labelled, percent), nodes, wide, percent)
-        found = _verified(pairs, rows, n, percent)
+        found = _verified(pairs, rows, texts, n, percent)
         links = found if links is None else links.union(found)
         label = components(links)
         labelled = stage(
             nodes.join(label, "node", "left").select("node", "gid", "n", "sketch", F.coalesce("comp", "node").alias("comp")),
             "labelled",
         )
-    of_class = keyed.select("n", "h1", "h2", "node").join(labelled.select("node", "comp"), "node")
-    named = signed.select("doc", "n", "h1", "h2").join(of_class.select("n", "h1", "h2", "comp"), ["n", "h1", "h2"], "left")
-    back = lambda c: F.when(c == NO_ID, F.lit(None)).otherwise(c)
-    return named.select(
-        back(F.col("doc")).alias(id_col), F.col("n").alias("n_shingles"), back(F.coalesce("comp", "doc")).alias("component_id")
+    of_class = stage(keyed.select("n", "h1", "h2", "node", "doc").join(labelled.select("node", "comp"), "node"), "named")
+    names = of_class.groupBy("comp").agg(F.min("doc").alias("name"))
+    by_class = of_class.join(names, "comp").select("n", "h1", "h2", "comp", "name")
+    return signed.select("doc", "k1", "k2", "n", "h1", "h2").join(by_class, ["n", "h1", "h2"], "left").drop("h1", "h2")
+
+
+def ngram_join(
+    documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row for each document: its id, ``n_shingles`` (set size) and ``component_id``.
+
+    Two documents link if 100 * |intersection| >= ``percent`` * |union| of their sets of ``n``-word runs; documents
+    with fewer words have one run of all their words. A component is named by its smallest id. Null and empty texts and
+    texts without words have empty sets and link with nothing: they are named by their own id. Every row is a document
+    of its own, also without an id or with the id of another row, and links by its own text only; a component without
+    any id is named by null. Repeated rows are returned as often as they stand. Other columns are not read. An empty
+    table gives no rows.
+
+    Documents with equal sets are one class from the start. Rounds of linear size compare each class with one other
+    that shares an n-gram; only then do components, not documents, meet on n-grams, so a group of near copies makes no
+    pairs beyond its first links. The sets of classes that are compared are the only ones written.
+    """
+    own_if_empty = F.when(F.col("n") > 0, F.col("name")).otherwise(F.col("doc"))
+    return linked(documents, n, percent, id_col, text_col).select(
+        F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), own_if_empty.alias("component_id")
     )

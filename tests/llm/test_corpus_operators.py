@@ -255,3 +255,16 @@ def test_label_model_finds_accuracies_and_copies():
     assert (np.abs(model.accuracies[:7] - [0.9, 0.8, 0.8, 0.75, 0.75, 0.7, 0.7]) < 0.1).all()
     assert max(model.share[[5, 6]]) < 0.6 < min(model.share[:5])
     assert ((model.posterior(votes) > 0.5) == truth).mean() > 0.88
+
+
+def test_rows_without_an_id_or_with_one_id_join_no_others(spark):
+    """Near copies of two unrelated documents under no id, and others under one id."""
+    rnd = np.random.default_rng(11)
+    text = lambda: " ".join(f"w{k}" for k in rnd.integers(0, 90_000, 100))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(10, a), (20, b), (30, c), (40, d), (None, a + " x"), (None, b + " y"), (50, c + " x"), (50, d + " y"), (None, e), (None, e + " z")]
+    found = ngram_join(frame(spark, rows)).collect()
+    got = sorted(((r.doc_id, r.component_id) for r in found), key=repr)
+    assert got == sorted(
+        [(10, 10), (20, 20), (30, 30), (40, 40), (None, 10), (None, 20), (50, 30), (50, 40), (None, None), (None, None)], key=repr
+    )
