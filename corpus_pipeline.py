@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from docloom.llm.line_dedup import dedup_lines
-from docloom.llm.ngram_join import ngram_join
+from docloom.llm.ngram_join import linked, text_key
 from docloom.llm.packing import pack
 from docloom.llm.pii import mask_pii
 from docloom.llm.quality import score_quality, train_quality
@@ -42,15 +42,25 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that five-word runs link at a similarity of 0.8, the one of smallest id.
+    """Of each group of documents that five-word runs link at a similarity of 0.8, one row: the one of smallest id.
 
-    Of several rows of that id the one with the smallest text hash stays. Documents without words stay all.
+    Rows without an id come last, and of several rows of that id the one with the smallest text hash stays. Rows that
+    link with nothing stay all, also where they share an id or have none, and so do rows without words.
     """
-    found = ngram_join(docs, n=5, percent=80)
-    first = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    of_id = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn("_row", F.row_number().over(of_id))
-    return kept.filter("_row = 1").select(*docs.columns)
+    own = ["doc", "k1", "k2"]
+    texts = linked(docs, n=5, percent=80, id_col="doc_id", text_col="text").groupBy(*own).agg(
+        F.any_value("comp").alias("comp"), F.count(F.lit(1)).alias("copies")
+    )
+    texts = stage(texts, "texts")
+    foremost = F.struct(F.col("doc").isNull().alias("last"), *own, "copies")
+    first = texts.filter("comp is not null").groupBy("comp").agg(F.min(foremost).alias("f")).select("f.doc", "f.k1", "f.k2", "f.copies")
+    kept = first.union(texts.filter("comp is null").select(*own, F.lit(1).alias("copies"))).toDF("_doc", "_k1", "_k2", "_copies")
+    same = [F.col("doc_id").cast("long").eqNullSafe(F.col("_doc"))] + [k == F.col(c) for k, c in zip(text_key("text"), ("_k1", "_k2"))]
+    one, several = (docs.join(kept.filter(f), same, "left_semi") for f in ("_copies = 1", "_copies > 1"))
+    # Rows of one id and text: only these are grouped, and combined before they are exchanged.
+    row = F.struct(*docs.columns)
+    combined = several.groupBy("doc_id", *text_key("text")).agg(F.any_value(row).alias("_row"))
+    return one.union(combined.select(*[F.col("_row")[c].alias(c) for c in docs.columns]))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

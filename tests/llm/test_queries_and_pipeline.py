@@ -84,6 +84,16 @@ def test_repeated_ids_leave_one_row(spark, awkward):
     assert sorted((r.doc_id for r in kept), key=repr) == [1, 2, None]
 
 
+def test_rows_that_are_no_copies_all_stay(spark, awkward):
+    """Different texts without an id and under one id, beside copies of each kind."""
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(None, text(k)) for k in range(5)] + [(7, text(k)) for k in range(5, 8)] + [(None, text(0)), (3, text(1) + " z"), (7, text(5) + " z")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], DOCUMENTS)
+    kept = corpus_pipeline.keep_first_copies(spark, docs, awkward[0]).collect()
+    got = [(r.doc_id, min(k for k in range(8) if text(k) in r.text)) for r in kept]
+    assert sorted(got, key=repr) == sorted([(None, 0), (3, 1), *[(None, k) for k in (2, 3, 4)], (7, 5), (7, 6), (7, 7)], key=repr)
+
+
 def test_pipeline_runs_and_rejects_bad_documents(spark):
     folder = "/root/testdata/sf0.01"
     packed = corpus_pipeline.run(spark, folder)
