@@ -20,14 +20,14 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite, F.lit(False))
 
 
-def searched(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+def searched(vectors: DataFrame, id_col: str, vector_col: str, least: int = 1) -> DataFrame:
     """``id`` and ``vec`` (array of doubles) of the vectors that take part, one for each id.
 
-    Rows without an id, without components or with unusable ones are left out. Of several rows of one id the smallest
+    Rows without an id, with fewer than ``least`` components or with unusable ones are left out. Of several rows of one id the smallest
     vector counts.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
-    return rows.filter(F.col("id").isNotNull() & usable(F.col("vec")) & (F.size("vec") > 0)).groupBy("id").agg(
+    return rows.filter(F.col("id").isNotNull() & usable(F.col("vec")) & (F.size("vec") >= least)).groupBy("id").agg(
         F.min("vec").alias("vec")
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Row, types as T
 
 from docloom.llm import vectors as grid
 from docloom.llm.ann import nearest
-from docloom.llm.topk import top_k
+from docloom.llm.topk import exact_products, top_k
 
 SCHEMA = T.StructType([
     T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("label", T.IntegerType()),
@@ -121,3 +121,34 @@ def test_nearest_where_a_third_are_copies(spark, monkeypatch, noise):
     found = nearest(frame(spark, rows), lambda i: i % 50 == 25).filter("query_id % 3 = 1").collect()
     assert len(found) == 5 * sum(i % 50 == 25 and i % 3 == 1 for i in kept)
     assert hits(found, kept) >= (1.0 if noise == 0 else 0.95)
+
+
+def test_exact_products():
+    rng = np.random.default_rng(8)
+    for bits in (3, 22, 31, 40, 63, 130):
+        a, b = (np.floor(rng.standard_normal((9, 300)) * 2.0**bits) for _ in range(2))
+        b[0] = 0
+        b[1, 5:], a[:, :5] = 0, 2.0**20
+        right = [[sum(int(x) * int(y) for x, y in zip(p, q)) for q in b] for p in a]
+        assert exact_products(a, b).tolist() == [[min(max(s, -(2**63)), 2**63 - 1) for s in p] for p in right]
+    edge = np.array([[2.0**62, 2.0**62, -1.0], [-(2.0**62), -(2.0**62), 0.0], [-(2.0**62), -(2.0**62), -1.0]])
+    assert exact_products(edge, np.array([[1.0, 1.0, 1.0]])).tolist() == [[2**63 - 1], [-(2**63)], [-(2**63)]]
+
+
+def test_top_k_keeps_large_components_and_empty_vectors(spark):
+    rows = vectors(600)
+    rows = [(i, [x * 3e5 for x in v] if i is not None and i % 3 == 0 and v and None not in v else v) for i, v in rows]
+    rows += [(700, [3e6] * 16), (701, [-3e6] * 16), (702, [1e30] + [0.0] * 15), (703, [2.0] * 16), (704, [-1.0] * 16)]
+    kept = usable(rows, True) | {601: np.zeros(16)}
+    kept = {i: np.float32(v).astype(float) for i, v in kept.items()}
+
+    def whole(a, b):
+        exact = sum(int(x) * int(y) for x, y in zip(np.floor(256 * a), np.floor(256 * b)))
+        return min(max(exact, -(2**63)), 2**63 - 1)
+
+    got = {}
+    for r in top_k(frame(spark, rows), asked).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    assert got == plain(kept, whole, 5)
+    few = [(r.score, r.vec_id) for r in top_k(frame(spark, [(0, [1.0, 1.0]), (1, []), (2, [-1.0, 0.0])]), asked).orderBy("rank").collect()]
+    assert few == [(0, 1), (-(256**2), 2)]
