@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.llm.ann import nearest
 from docloom.llm.bpe import encode_bpe
+from docloom.llm.decontaminate import find_passages
+from docloom.llm.filter_audit import CHECKS, REPEATED, audit_filters, filter_masks
+from docloom.llm.hard_negatives import mine_hard_negatives
 from docloom.llm.line_dedup import dedup_lines
 from docloom.llm.ngram_join import ngram_join
 from docloom.llm.packing import pack
@@ -106,6 +109,27 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_rows(score_toxicity(documents, model), threshold=0.3)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_masks(table(spark, sf_dir, "documents"))
+    return audit_filters(masks, table(spark, sf_dir, "labels"), "".join(CHECKS) + REPEATED)
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", noisy.alias("label"))
+    return mine_hard_negatives(vectors, _asked)
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+    items = F.sort_array(F.col("items").cast("array<string>"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("n_words").cast("long").alias("n_words"), F.size("hits").cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        (F.size("hits") > 0).alias("contaminated"),
+    )
+
+
 _LINE_DEDUP = r"""
 WITH parts AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
@@ -138,6 +162,91 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5"""
 
 
+_FILTER_AUDIT = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), worded AS (
+  SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+    min(doc_id) OVER (PARTITION BY t) AS least FROM texts
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+    CASE WHEN len(words) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(words)) < 65 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS f
+  FROM worded LEFT JOIN marks USING (doc_id)
+), counted AS (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(bad) AS bad FROM failed GROUP BY part, f
+), letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o
+  FROM letters a JOIN letters b ON b.l <> a.l JOIN letters c ON c.l NOT IN (a.l, b.l) JOIN letters d ON d.l NOT IN (a.l, b.l, c.l)
+  JOIN letters e ON e.l NOT IN (a.l, b.l, c.l, d.l)
+), steps AS (
+  SELECT o, i AS step, substr(o, i, 1) AS l, left(o, i - 1) AS earlier FROM orders, range(1, 6) AS r(i)
+), judged AS (
+  SELECT part, o, step, l, f, n, good, bad, contains(f, l) AS fails, translate(f, earlier, '') <> f AS already FROM counted, steps
+), summed AS (
+  SELECT part, o, step, l, sum(n) FILTER (WHERE NOT fails AND NOT already) AS kept, sum(n) FILTER (WHERE fails AND NOT already) AS removed,
+    sum(n) FILTER (WHERE fails AND already) AS redundant, sum(n) FILTER (WHERE f = l) AS unique_fails,
+    sum(good) FILTER (WHERE fails AND NOT already) AS good_lost, sum(bad) FILTER (WHERE fails AND NOT already) AS toxic_lost
+  FROM judged GROUP BY part, o, step, l
+)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+  CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+  CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(removed) OVER (PARTITION BY part, l), 0) AS BIGINT) AS shapley
+FROM summed"""
+
+
+_HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.e, v.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS a JOIN v ON a.vec_id % 50 = 0 AND a.vec_id <> v.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), found AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+    AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM found WHERE rank <= 3"""
+
+
+_ASCII = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_WORDS = (
+    rf"list_filter(string_split_regex(translate(coalesce(text, ''), {_ASCII}), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+)
+_DECONTAMINATION = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS words FROM benchmark
+), sized AS (SELECT *, least(len(words), 10) AS size FROM items WHERE len(words) > 0
+), windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS w
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM sized)
+), texts AS (SELECT doc_id, {_WORDS} AS words FROM documents
+), places AS (
+  SELECT doc_id, i, size, array_to_string(words[i:i + size - 1], ' ') AS w FROM (
+    SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM texts, (SELECT DISTINCT size FROM windows))
+), hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, w)
+), spots AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS spot FROM hits) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS joined
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN spots USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
 def _pii_kind(name: str, pattern: str, confirmed: str, score: str = "1.0") -> str:
     """Spans of one kind: matches stand between the pieces that splitting leaves, so lengths add up to places."""
     return f"""
@@ -199,4 +308,7 @@ def llm_queries() -> dict:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_line_dedup": _LINE_DEDUP, "op4_pii": _sql_pii(), "op6_topk": _TOP_K}
+    return {
+        "op3_line_dedup": _LINE_DEDUP, "op4_pii": _sql_pii(), "op6_topk": _TOP_K,
+        "op11_filter_audit": _FILTER_AUDIT, "op12_hard_negatives": _HARD_NEGATIVES, "op13_decontamination": _DECONTAMINATION,
+    }

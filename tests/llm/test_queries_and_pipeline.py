@@ -22,7 +22,7 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 @pytest.mark.parametrize("name", sorted(llm_oracles()))
 def test_query_matches_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     rows = llm_queries()[name](spark, SF_DIR)
     cursor = duck.execute(llm_oracles()[name])
