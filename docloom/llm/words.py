@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,8 @@ from tokenizers import Regex, pre_tokenizers
 # Characters that go through numpy at once, and rows that go through Python at once.
 CHARS, ROWS = 1 << 19, 512
 LETTER, DIGIT, BLANK, OTHER, BETWEEN = range(5)
+# Bytes of the longest word whose polynomial hash is kept: on long ones, sums of powers modulo 2 to the 64 cancel out.
+SHORT = 32
 CONTRACTIONS = (b"s", b"t", b"m", b"d", b"re", b"ve", b"ll")
 
 _rng = np.random.default_rng(20240229)
@@ -30,13 +33,19 @@ def _power(name: str, base: int, n: int) -> np.ndarray:
 
 
 def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run of bytes, the same wherever the run stands."""
+    """A 64-bit hash of each run of bytes, the same wherever the run stands; of long runs a cryptographic one."""
     n = len(data)
     prefix = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[data] * _power("up", _BASE, n), out=prefix[1:])
     back = _power("down", pow(_BASE, -1, 2**64), n + 1)
     hashes = (prefix[ends] - prefix[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _BYTE[7]
-    return hashes ^ (hashes >> np.uint64(29))
+    hashes ^= hashes >> np.uint64(29)
+    long = np.flatnonzero(ends - starts > SHORT)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        for i, a, b in zip(long.tolist(), starts[long].tolist(), ends[long].tolist()):
+            hashes[i] = int.from_bytes(hashlib.blake2b(raw[a:b], digest_size=8).digest(), "little")
+    return hashes
 
 
 def latin_classes() -> np.ndarray:
