@@ -151,19 +151,20 @@ def _meeting(zones: DataFrame, asked: DataFrame, width: int, same: bool) -> Data
             for i, (label, lows, highs) in enumerate(zip(*(some.column(c).to_pylist() for c in ("label", "lows", "highs")))):
                 meets = np.zeros(len(blocks), dtype=bool)
                 for begin, end in zip(lows, highs):
-                    # Bounds that are no numbers rule nothing out.
-                    meets |= ~(most[i] < float(begin)) & ~(least[i] > float(end))
+                    # Bounds that are no numbers rule nothing out, and scores beyond a long count as its ends.
+                    reach = begin == BEGIN or ~(most[i] < float(begin))
+                    meets |= reach & (end == END or ~(least[i] > float(end)))
                 at = np.flatnonzero(meets & fit[label])
                 found.append((np.full(len(at), ids[start + i]), blocks[at]))
         anchor, block = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, dtype=np.int64)] * 2
         return pa.table({"anchor_id": pa.array(anchor, pa.int64()), "block": pa.array(block, pa.int64())})
 
-    return over_grid(zones, asked, "block", "anchor_id", cell, "anchor_id long, block long")
+    # Both are counted before they are met, and the pairs are read twice.
+    return stage(over_grid(zones, stage(asked, "windows"), "block", "anchor_id", cell, "anchor_id long, block long"), "to-read")
 
 
-def _read(blocks: DataFrame, asked: DataFrame, cell: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``cell`` of each block with the anchors of ``asked`` that name it, in chunks of bounded size."""
-    chunks = blocks_of(asked.select("anchor_id").distinct().count(), ANCHORS)
+def _read(blocks: DataFrame, asked: DataFrame, chunks: int, cell: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``cell`` of each block with the anchors of ``asked`` that name it, dealt out to ``chunks``."""
     dealt = asked.withColumn("chunk", F.pmod(F.xxhash64("anchor_id"), F.lit(chunks)))
     wanted = dealt.select("block", "chunk").distinct()
     # Both sides may come from the same table: new columns tell them apart.
@@ -225,6 +226,7 @@ def mine_hard_negatives(
     blocks = _blocks(live, width)
     zones = stage(_zones(blocks, width), "zones")
     anchors = stage(blocks.filter(is_anchor(F.col("id"))).withColumnRenamed("id", "anchor_id"), "anchors")
+    chunks = blocks_of(anchors.count(), ANCHORS)
 
     def alike(block: pa.Table, asked: pa.Table) -> pa.Table:
         own, found = asked.column("anchor_id").to_pylist(), []
@@ -234,7 +236,7 @@ def mine_hard_negatives(
         return _table(found, ("anchor_id", "positive_id", "score"))
 
     def highest(asked: DataFrame) -> DataFrame:
-        scores = _read(blocks, asked, alike, "anchor_id long, positive_id long, score long")
+        scores = _read(blocks, asked, chunks, alike, "anchor_id long, positive_id long, score long")
         return largest(scores, ["anchor_id"], "score", "positive_id", positives)
 
     first = highest(anchors).groupBy("anchor_id").agg(F.when(F.count(F.lit(1)) >= positives, F.min("score")).alias("cut"))
@@ -260,7 +262,7 @@ def mine_hard_negatives(
 
     with_pairs = anchors.join(matched, "anchor_id")
     group = ["anchor_id", "positive_id", "positive_score"]
-    near = largest(_read(blocks, with_pairs, hard, FOUND), group, "negative_score", "negative_id", negatives)
+    near = largest(_read(blocks, with_pairs, chunks, hard, FOUND), group, "negative_score", "negative_id", negatives)
     cuts = near.groupBy(*group).agg(F.when(F.count(F.lit(1)) >= negatives, F.min("negative_score")).alias("cut"))
     each = with_pairs.select("anchor_id", F.inline("pairs")).withColumnRenamed("score", "positive_score")
     # Whole numbers of 38 digits hold the products.
@@ -270,7 +272,7 @@ def mine_hard_negatives(
         F.floor(part(high)).cast("long").alias("end"),
     ).filter("begin <= end")
     asking = with_pairs.drop("block").join(_meeting(zones, _told(anchors, ends), width, same=False), "anchor_id")
-    found = largest(_read(blocks, asking, hard, FOUND), group, "negative_score", "negative_id", negatives)
+    found = largest(_read(blocks, asking, chunks, hard, FOUND), group, "negative_score", "negative_id", negatives)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
