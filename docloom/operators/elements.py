@@ -18,7 +18,7 @@ PARSER_FAILURE = "ai_parse_document error_status: "
 NO_CONTENT = "No text-like content returned by ai_parse_document"
 
 
-def _page_number(element: Column) -> Column:
+def page_number_of(element: Column) -> Column:
     """Page of the first box; absent, unreadable or below one counts as page one."""
     box = at(element, "$.bbox[0].page_id")
     body = text_of(box)
@@ -29,22 +29,32 @@ def _page_number(element: Column) -> Column:
     return F.greatest(F.coalesce(number, F.lit(1)), F.lit(1))
 
 
-def _content(element: Column) -> Column:
+def content_of(element: Column) -> Column:
     body = at(element, "$.content")
     return strip(F.when(kind(body) == "BOOLEAN", F.initcap(text_of(body))).otherwise(text_of(body)))
 
 
+def is_text_element(element: Column) -> Column:
+    skipped = F.coalesce(F.lower(strip(text_of(element, "$.type"))), F.lit("")).isin(*SKIPPED_TYPES)
+    return (kind(element) == "OBJECT") & ~skipped
+
+
+def document_error(json_error: Column, status: Column, items: Column) -> Column:
+    """Why a document has no text, or null. ``items`` is the number of its contents."""
+    return (
+        F.when(json_error.isNotNull(), F.concat(F.lit(PARSE_FAILURE), json_error))
+        .when(truthy(status), F.concat(F.lit(PARSER_FAILURE), text_of(status)))
+        .when(F.coalesce(items, F.lit(0)) <= 0, F.lit(NO_CONTENT))
+    )
+
+
 def _text_items(document: Column) -> Column:
     """Array of (page, pos, content) in reading order."""
     elements = F.try_variant_get(document, "$.document.elements", "array<variant>")
-    usable = F.filter(
-        elements,
-        lambda e: (kind(e) == "OBJECT")
-        & ~F.coalesce(F.lower(strip(text_of(e, "$.type"))), F.lit("")).isin(*SKIPPED_TYPES),
-    )
+    usable = F.filter(elements, is_text_element)
     items = F.transform(
         usable,
-        lambda e, i: F.struct(_page_number(e).alias("page"), i.alias("pos"), _content(e).alias("content")),
+        lambda e, i: F.struct(page_number_of(e).alias("page"), i.alias("pos"), content_of(e).alias("content")),
     )
     return F.sort_array(F.filter(items, lambda item: item["content"] != ""))
 
@@ -85,11 +95,7 @@ def assemble_elements(parsed: DataFrame) -> DataFrame:
     items = documents.select(
         *keys, "json_error", at(F.col("doc"), "$.error_status").alias("status"), _text_items(F.col("doc")).alias("items")
     )
-    error = (
-        F.when(F.col("json_error").isNotNull(), F.concat(F.lit(PARSE_FAILURE), F.col("json_error")))
-        .when(truthy(F.col("status")), F.concat(F.lit(PARSER_FAILURE), text_of(F.col("status"))))
-        .when(F.coalesce(F.size("items"), F.lit(0)) <= 0, F.lit(NO_CONTENT))
-    )
+    error = document_error(F.col("json_error"), F.col("status"), F.size("items"))
     judged = items.select(*keys, "items", error.alias("error"))
     last_page = F.get(F.col("items"), F.size("items") - 1)["page"]
     return judged.select(*raw_text_row(_marked_text(F.col("items")), last_page, F.col("error")))

@@ -43,6 +43,28 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(path.alias("path"), F.col("n_chars").alias("length"))
 
 
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit("doc_"), F.col("doc_id").cast("string"), F.lit(".pdf"))
+    return table(spark, sf_dir, "documents").select(
+        F.concat(F.lit("/corpus/"), F.col("source"), F.lit("/"), name).alias("path"), F.col("n_chars").alias("length"),
+        F.lit(1).alias("modified"), F.coalesce("text", F.lit("")).alias("text"), (F.col("doc_id") % 10).alias("fate"), name.alias("name"),
+    )
+
+
+def saved_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nine of ten documents as an earlier run saw them."""
+    return _listed(spark, sf_dir).filter("fate <> 9").select("path", "length", "modified", F.sha2("text", 256).alias("digest"))
+
+
+def listing_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files as they are now, with digests: some touched (5), rewritten (6), moved (7), gone (8) and new (9)."""
+    text = F.when(F.col("fate") == 6, F.concat("text", F.lit("!"))).otherwise(F.col("text"))
+    return _listed(spark, sf_dir).filter("fate <> 8").select(
+        F.when(F.col("fate") == 7, F.concat(F.lit("/moved/"), F.col("name"))).otherwise(F.col("path")).alias("path"),
+        "length", F.when(F.col("fate").isin(5, 6), F.lit(2)).otherwise(F.col("modified")).alias("modified"), F.sha2(text, 256).alias("digest"),
+    )
+
+
 def page_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as arrays of pages of five lines; some pages and some documents could not be read."""
     starts = F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / LINES_PER_PAGE).cast("int"))

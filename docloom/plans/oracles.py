@@ -62,6 +62,23 @@ result AS (
   FROM docs LEFT JOIN whole USING (doc_id))"""
 
 
+_MANIFEST = """WITH file AS (
+  SELECT doc_id % 10 AS fate, '/corpus/' || source || '/doc_' || doc_id || '.pdf' AS path, '/moved/doc_' || doc_id || '.pdf' AS other,
+         n_chars AS length, coalesce(text, '') AS text FROM documents),
+saved AS (SELECT path, length, sha256(text) AS digest FROM file WHERE fate <> 9),
+listed AS (
+  SELECT CASE WHEN fate = 7 THEN other ELSE path END AS path, length, CASE WHEN fate IN (5, 6) THEN 2 ELSE 1 END AS modified,
+         sha256(CASE WHEN fate = 6 THEN text || '!' ELSE text END) AS digest FROM file WHERE fate <> 8),
+lost AS (SELECT digest, min(path) AS left_path FROM saved WHERE path NOT IN (SELECT path FROM listed) GROUP BY digest)
+SELECT path, 'gone' AS status, length, 1 AS modified, digest, CAST(NULL AS VARCHAR) AS moved_from
+FROM saved WHERE path NOT IN (SELECT path FROM listed)
+UNION ALL
+SELECT path, CASE WHEN s.digest = l.digest THEN 'unchanged' WHEN s.digest IS NOT NULL THEN 'changed'
+                  WHEN left_path IS NOT NULL THEN 'moved' ELSE 'new' END, l.length, modified, l.digest,
+       CASE WHEN s.digest IS NULL THEN left_path END
+FROM listed l LEFT JOIN saved s USING (path) LEFT JOIN lost ON lost.digest = l.digest"""
+
+
 # Fixed value: the most characters of one request.
 _MOST = 120_000
 
@@ -389,6 +406,8 @@ SELECT file_name, file_path, page_count, md5(policy_text) AS policy_text, extrac
        CASE WHEN error_message LIKE '%Expecting value%' THEN {_text("No text-like content returned by ai_parse_document")}
             ELSE error_message END AS error_message FROM result""",
         "page_text_elements": f"WITH {_ELEMENTS} SELECT * FROM result",
+        "page_text_streamed": f"WITH {_ELEMENTS} SELECT * FROM result",
+        "manifest_changes": _MANIFEST,
         "document_status": f"""WITH {_ELEMENTS}
 SELECT extraction_status, error_message, count(*) AS document_count, CAST(sum(page_count) AS BIGINT) AS page_total
 FROM result GROUP BY ALL""",
@@ -407,6 +426,10 @@ FROM (SELECT *, {_part_numbers("text")} FROM outcome)""",
 SELECT file_path, part_no, n AS request_chars, CASE WHEN n % 7 = 0 THEN 'FAILED' ELSE 'SUCCESS' END AS extraction_status,
        CASE WHEN n % 7 <> 0 THEN '{{"policy": {{"policy_number": "' || n || '"}}}}' END AS model_output_json,
        CASE WHEN n % 7 = 0 THEN 'no capacity' END AS error_message FROM call""",
+        "retry_run": f"""{_CALLS}
+SELECT file_path, part_no, n AS request_chars, 'SUCCESS' AS extraction_status,
+       '{{"policy": {{"policy_number": "' || CASE WHEN n % 7 = 0 THEN 'again ' ELSE '' END || n || '"}}}}' AS model_output_json,
+       CAST(NULL AS VARCHAR) AS error_message FROM call""",
         "policy_of_parts": f"""{_CALLS}
 SELECT file_path, arg_min(CAST(n AS VARCHAR), part_no) AS policy_number FROM call WHERE n % 7 <> 0 GROUP BY file_path""",
         "reported_usage": f"""{_CALLS}, used AS (

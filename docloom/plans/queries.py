@@ -9,10 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from docloom.operators import compare, contracts, dashboard, entities, normalize, pages, requests, responses, usage
 from docloom.operators.completion import complete, complete_mock, complete_replay
+from docloom.operators.element_stream import assemble_element_stream
 from docloom.operators.elements import assemble_elements
-from docloom.plans import corpus
-from docloom.session import stage
+from docloom.plans import corpus, retry
+from docloom.plans.runs import RunOptions
+from docloom.session import stage, staging_path
 from docloom.sources.files import list_documents, parsed_json
+from docloom.sources.manifest import file_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +50,15 @@ def file_listing_capped(spark, sf_dir):
     return list_documents(corpus.listing(spark, sf_dir), LISTED)
 
 
+@_query
+def manifest_changes(spark, sf_dir):
+    """What became of each file since the saved manifest; digests are read for files that look different only."""
+    listed, saved = corpus.listing_now(spark, sf_dir), corpus.saved_manifest(spark, sf_dir)
+    contents = listed.select("path", "digest")
+    found = file_changes(listed.drop("digest"), saved, lambda paths: contents.join(paths, "path", "left_semi"))
+    return found.select("path", "status", "length", "modified", "digest", "moved_from")
+
+
 # Page assembly
 
 
@@ -65,6 +77,12 @@ def page_text_elements(spark, sf_dir):
     return assemble_elements(corpus.parsed_documents(spark, sf_dir))
 
 
+@_query
+def page_text_streamed(spark, sf_dir):
+    """Every document through the element stream, whatever its size."""
+    return assemble_element_stream(corpus.parsed_documents(spark, sf_dir))
+
+
 @_query
 def variant_documents(spark, sf_dir):
     """Parser output as VARIANT, through JSON text, to marked text."""
@@ -165,6 +183,25 @@ def completion_run(spark, sf_dir):
     )
 
 
+def _scripted_again(request: dict) -> dict:
+    """A model that has capacity by now; it must not be asked for what was answered before."""
+    length = len(request["messages"][-1]["content"])
+    if length % 7:
+        raise RuntimeError("asked twice")
+    return {"choices": [{"message": {"content": json.dumps({"policy": {"policy_number": f"again {length}"}})}}]}
+
+
+@_query
+def retry_run(spark, sf_dir):
+    """Failed calls of a saved run asked again, with the rest of the saved table as it was."""
+    path = staging_path(spark, "saved-output")
+    retry.save_output(responses.model_output(responses.clean_responses(_calls(spark, sf_dir), MODEL, RUN_TIME)), path)
+    options = RunOptions(prompt=requests.PLACEHOLDER, max_chars=PART_CHARS, processed_at=RUN_TIME)
+    return retry.retry_failed(spark, path, _texts(spark, sf_dir), _scripted_again, MODEL, options).select(
+        "file_path", "part_no", "request_chars", "extraction_status", "model_output_json", "error_message"
+    )
+
+
 @_query
 def policy_of_parts(spark, sf_dir):
     """One policy row per document, from the answers to all its parts."""

@@ -44,6 +44,11 @@ def staging_root(spark: SparkSession) -> str:
     return root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
+def staging_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A new path in the shared folder."""
+    return f"{(root or staging_root(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
@@ -51,6 +56,6 @@ def stage(df: DataFrame, name: str, root: str | None = None) -> DataFrame:
     several outputs share one input. The files outlive the executors that wrote them.
     """
     spark = df.sparkSession
-    target = f"{(root or staging_root(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    target = staging_path(spark, name, root)
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
