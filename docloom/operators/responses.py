@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.functions.envelope import read_envelopes, shown_number, whole_text
 from docloom.functions.jsontext import clean_json, settle_json
 from docloom.functions.text import drop_fences, strip
 from docloom.functions.variant import NUMBERS, at, kind, python_name, text_of, truthy
@@ -21,6 +22,9 @@ NO_CHOICES = "No choices returned by model: "
 NO_TEXT = "Unable to extract text content from model response: "
 
 BAD_ENVELOPE = "stored response is not valid JSON"
+UNREAD_ENVELOPE = "stored response holds more than can be read"
+# Top-level keys that are read.
+READ_KEYS = ("choices", "usage", *FALLBACK_KEYS)
 FLAGS = ("was_truncated", "was_repaired")
 
 
@@ -50,7 +54,9 @@ def _content_v1(envelopes: DataFrame) -> DataFrame:
     main = envelopes.withColumn("main", at(doc, "$.choices[0].message.content"))
     chosen = main.withColumn("picked", F.when(truthy(F.col("main")), F.col("main")).otherwise(_fallback()))
     # The whole response stands in when nothing else is there.
-    content = F.when(picked.isNull(), F.col("response_json")).otherwise(text_of(picked))
+    content = F.when(picked.isNull(), F.col("response_json")).when(
+        kind(picked).isin(*NUMBERS), shown_number(text_of(picked))
+    ).otherwise(text_of(picked))
     return chosen.select(
         "*",
         content.alias("content"),
@@ -107,14 +113,16 @@ def clean_responses(responses: DataFrame, model_name: str, processed_at: str, ru
 
     Input columns: file_name, file_path, page_count, request_chars, response_json, call_error. Every row
     yields a row; ``part_no`` is carried where it is given. One that cannot be used has status FAILED, its message and the content if it was read.
+    Responses are JSON by Python's rules: NaN and repeated keys are accepted, text after the value is not, and size does not matter.
     """
     part = [c for c in ("part_no",) if c in responses.columns]
     keys = ["file_name", "file_path", "page_count", "request_chars", "response_json", "call_error", *part]
-    envelopes = responses.select(*keys).withColumn("doc", F.try_parse_json("response_json"))
+    envelopes = read_envelopes(responses.select(*keys), "response_json", READ_KEYS)
     contents = _content_v1(envelopes) if rules == "v1" else _content_v2(envelopes)
     cut, cut_problem = _truncation(F.col("doc"), rules)
     no_envelope = F.coalesce(
-        F.col("call_error"), F.when(F.col("doc").isNull(), F.lit(BAD_ENVELOPE))
+        F.col("call_error"),
+        F.when(~F.coalesce("accepted", F.lit(False)), F.lit(BAD_ENVELOPE)).when(F.col("doc").isNull(), F.lit(UNREAD_ENVELOPE)),
     )
     read = contents.select(
         *keys[:4],
@@ -123,7 +131,7 @@ def clean_responses(responses: DataFrame, model_name: str, processed_at: str, ru
         no_envelope.alias("call_problem"),
         F.coalesce(no_envelope, F.col("content_error")).alias("read_problem"),
         F.coalesce(cut_problem, F.col("unusable")).alias("use_problem"),
-        F.when(no_envelope.isNull(), F.col("content")).alias("content"),
+        F.when(no_envelope.isNull(), whole_text(F.col("content"))).alias("content"),
     )
     usable = F.col("read_problem").isNull() & F.col("use_problem").isNull()
     bodies = read.withColumn("stripped", F.when(usable, strip(F.coalesce("content", F.lit(""))))).withColumn(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from docloom.functions.envelope import read_envelopes
 from docloom.functions.text import ascii_json_length
 from docloom.functions.variant import NUMBERS, at, kind
 from docloom.operators.completion import ModelSettings
@@ -45,10 +46,10 @@ def account(calls: DataFrame, settings: ModelSettings) -> DataFrame:
     used_in, used_out = F.col("estimated_input"), guess
     if not settings.mock:
         used_in, used_out = F.coalesce(reported("prompt_tokens"), used_in), F.coalesce(reported("completion_tokens"), guess)
-    counted = calls.withColumn("doc", F.try_parse_json("response_json")).select(
-        "*", used_in.alias("input_tokens"), used_out.alias("output_tokens")
+    counted = read_envelopes(calls, "response_json", ("usage",)).select(
+        *calls.columns, used_in.alias("input_tokens"), used_out.alias("output_tokens")
     )
-    return counted.drop("doc", "estimated_input").select(
+    return counted.drop("estimated_input").select(
         "*",
         F.lit(settings.model_used).alias("model_used"),
         cost(F.col("input_tokens"), F.col("output_tokens"), settings.mock).alias("cost_estimate_usd"),

@@ -4,9 +4,10 @@ import json
 
 import pytest
 
+from docloom.functions.envelope import plain_form
 from docloom.functions.jsontext import close_truncated
 from docloom.functions.text import ascii_json_length, drop_fences, strip
-from docloom.operators.responses import clean_responses, model_output
+from docloom.operators.responses import BAD_ENVELOPE, NO_TEXT, clean_responses, model_output
 from docloom.schemas import MODEL_OUTPUT, RESPONSES
 from pyspark.sql import functions as F
 
@@ -188,3 +189,64 @@ def test_spark_and_python_agree_on_what_is_json(spark):
     assert len(natively) > 300
     for i, found in natively.items():
         assert _settle_one(texts[i], False, False) == (found, False, None), texts[i]
+
+LONG_TEXT = "long " * 40_000
+
+ODD_ENVELOPES = [
+    ('{"choices":[],"choices":[{"message":{"content":"{}"}}]}', "SUCCESS", "SUCCESS", "{}"),
+    ('{"choices":[{"message":{"content":"{}"}}],"usage":{"completion_tokens":NaN}}', "SUCCESS", "SUCCESS", "{}"),
+    ('{"choices":[{"message":{"content":"{}"}}]} junk', "FAILED", "FAILED", None),
+    ('{"choices":[{"message":{"content":NaN}}]}', "FAILED", "FAILED", None),
+    ('{"choices":[{"message":{"content":"{}"}}', "FAILED", "FAILED", None),
+    ("", "FAILED", "FAILED", None),
+    (None, "FAILED", "FAILED", None),
+]
+
+
+@pytest.mark.parametrize("rules", ["v1", "v2"])
+def test_envelopes_are_judged_as_python_does(spark, rules):
+    rows = run(spark, [body for body, *_ in ODD_ENVELOPES], rules)
+    for row, (body, first, second, output) in zip(rows, ODD_ENVELOPES):
+        assert row.extraction_status == (first if rules == "v1" else second), body
+        assert row.model_output_json == output, body
+    messages = [row.error_message for row in rows]
+    assert messages[2] == messages[4] == messages[5] == messages[6] == BAD_ENVELOPE
+    if rules == "v1":
+        assert messages[3] == "'float' object has no attribute 'strip'" and rows[3].raw_model_response == "NaN"
+    else:
+        assert messages[3] == NO_TEXT + ODD_ENVELOPES[3][0]
+
+
+def test_infinite_budget_is_full(spark):
+    body = '{"choices":[{"message":{"content":"{\\"a\\":[1,"}}],"usage":{"completion_tokens":Infinity}}'
+    (row,) = run(spark, [body])
+    assert row.was_truncated and row.model_output_json == '{"a": [1]}'
+
+
+def test_plain_form_sets_long_strings_aside():
+    content = json.dumps({"a": LONG_TEXT})
+    text = json.dumps({"choices": [{"message": {"content": [{"type": "text", "text": content}]}}, 2], "other": [LONG_TEXT], "usage": {"n": 1}})
+    accepted, form, marks, strings = plain_form(text, ("choices", "usage"), longest=1000, aside=100)
+    assert accepted and len(form) < 1000 and strings == [content]
+    part = {"type": "text", "text": marks[0]}
+    assert json.loads(form) == {"choices": [{"message": {"content": [part]}}], "usage": {"n": 1}}
+    assert plain_form(text, ("choices",)) == (True, text, [], [])
+
+
+def test_response_beyond_a_variant(spark):
+    """A response of 140 MiB, in two parts, is cleaned like a small one."""
+    half = F.concat(F.lit('\\"'), F.repeat(F.lit("x"), 70 << 20))
+    part = lambda text: F.concat(F.lit('{"type":"text","text":"'), text, F.lit('"}'))
+    whole = F.concat(
+        F.lit('{"choices":[{"finish_reason":"stop","message":{"content":['), part(F.concat(F.lit('{\\"a\\":'), half, F.lit('\\"'))), F.lit(","),
+        part(F.concat(F.lit(',\\"b\\":'), half, F.lit('\\"}'))), F.lit("]}}]}"),
+    )
+    row = spark.range(1).select(
+        F.lit("f").alias("file_name"), F.lit("/f").alias("file_path"), F.lit(1).alias("page_count"), F.lit(1).alias("request_chars"),
+        whole.alias("response_json"), F.lit(None).cast("string").alias("call_error"),
+    )
+    (found,) = clean_responses(row, "m", "t", "v2").select(
+        "extraction_status", F.length("model_output_json").alias("n"), F.substr("model_output_json", F.lit(1), F.lit(8)).alias("head"), "error_message"
+    ).collect()
+    assert found.error_message is None and found.extraction_status == "SUCCESS"
+    assert found.n == 2 * (70 << 20) + 16 and found.head == '{"a":"xx'
