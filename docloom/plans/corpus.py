@@ -190,6 +190,31 @@ def stored_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Shapes of ``odd_responses`` by ``doc_id % 8``.
+(ODD_PLAIN, ODD_NAN_TOKENS, ODD_REPEATED, ODD_TRAILING, ODD_CALL_ERROR, ODD_INFINITE, ODD_NAN_CONTENT, ODD_CUT) = range(8)
+
+
+def odd_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses whose JSON only Python's rules settle; the content names the document and its text's digest."""
+    content = F.concat(
+        F.lit('{\\"policy\\":{\\"policy_number\\":\\"PN-'), F.col("doc_id").cast("string"),
+        F.lit('\\",\\"carrier\\":\\"'), F.sha2("text", 256), F.lit('\\"}}'),
+    )
+    shape = F.col("doc_id") % 8
+    message = F.when(shape == ODD_NAN_CONTENT, F.lit("NaN")).otherwise(F.concat(F.lit('"'), content, F.lit('"')))
+    choices = F.concat(F.lit('"choices":[{"finish_reason":"stop","message":{"content":'), message, F.lit("}}]"))
+    used = F.when(shape == ODD_NAN_TOKENS, "NaN").when(shape == ODD_INFINITE, "Infinity").otherwise("9")
+    whole = F.concat(
+        F.lit("{"), F.when(shape == ODD_REPEATED, '"choices":[],').otherwise(""), choices, F.lit(',"usage":{"completion_tokens":'), used, F.lit("}}"),
+        F.when(shape == ODD_TRAILING, " and more").otherwise(""),
+    )
+    response = F.when(shape == ODD_CUT, F.expr("substr(whole, 1, length(whole) - 1)")).when(shape != ODD_CALL_ERROR, F.col("whole"))
+    return documents(spark, sf_dir).withColumn("whole", whole).select(
+        "file_name", "file_path", F.lit(1).alias("page_count"), F.col("n_chars").alias("request_chars"), response.alias("response_json"),
+        F.when(shape == ODD_CALL_ERROR, F.lit("no capacity")).alias("call_error"),
+    )
+
+
 def _order_file(key: str) -> list[Column]:
     name = F.concat(F.lit("policy_"), F.col(key).cast("string"), F.lit(".pdf"))
     folder = (F.col(key) % 16).cast("string")
@@ -233,6 +258,22 @@ def coverage_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loss per order, up to 500 days after it, of the order's customer."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("loss_id"), F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("insured"),
+        F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 501).cast("int")).alias("day"),
+    )
+
+
+def coverage_table_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The coverages as a later run found them: by order, some are missing, have another limit, or show twice."""
+    key = F.regexp_extract("file_name", "[0-9]+", 0).cast("long") % 10
+    times = F.when(key == 1, 0).when(key == 3, 2).otherwise(1)
+    rows = coverage_table(spark, sf_dir).withColumn("time", F.explode(F.array_repeat(F.lit(1), times))).drop("time")
+    return rows.withColumn("limit_amount", F.when(key == 2, F.col("limit_amount") + 1).otherwise(F.col("limit_amount")))
+
+
 def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A header record per order, some without a name or with a policy type outside the enumeration."""
     kind = F.element_at(

@@ -372,6 +372,70 @@ SELECT file_path, count(*) FILTER (a = 1 AND b = 0) AS first_only, count(*) FILT
        count(*) FILTER (a = 1 AND b = 1) AS in_both FROM answered LEFT JOIN pair USING (file_path) GROUP BY file_path"""
 
 
+_RUNS = f"""WITH line AS (
+  SELECT {_ORDER_FILE.format("l_orderkey")}, CASE WHEN l_linenumber <> 5 THEN 'Part ' || l_partkey END AS coverage_name,
+         l_returnflag AS coverage_section, l_extendedprice AS price, l_orderkey % 10 AS fate FROM lineitem),
+side AS (
+  SELECT file_path, coverage_name, coverage_section, price AS limit_amount, 1 AS a, 0 AS b FROM line
+  UNION ALL
+  SELECT file_path, coverage_name, coverage_section, CASE WHEN fate = 2 THEN price + 1 ELSE price END, 0,
+         CASE fate WHEN 3 THEN 2 ELSE 1 END FROM line WHERE fate <> 1),
+whole AS (
+  SELECT file_path, coverage_name, coverage_section, limit_amount, CAST(sum(a) AS BIGINT) AS first_rows, CAST(sum(b) AS BIGINT) AS second_rows
+  FROM side GROUP BY ALL),
+judged AS (
+  SELECT *, least(first_rows, second_rows) AS kept, greatest(first_rows - second_rows, 0) AS removed,
+         greatest(second_rows - first_rows, 0) AS added FROM whole)"""
+_RUN_CHANGES = f"""{_RUNS}, total AS (
+  SELECT file_path, sum(kept) AS kept, sum(removed) AS r, sum(added) AS d FROM judged GROUP BY file_path)
+SELECT file_path, CAST(kept AS BIGINT) AS kept, CAST(least(r, d) AS BIGINT) AS changed, CAST(r - least(r, d) AS BIGINT) AS removed,
+       CAST(d - least(r, d) AS BIGINT) AS added FROM total"""
+
+# Terms
+
+_IN_TERMS = """WITH term AS (
+  SELECT o_custkey AS insured, CAST(o_orderkey AS VARCHAR) AS policy_number, CAST(o_orderdate AS DATE) AS starts,
+         CAST(CAST(o_orderdate AS DATE) + INTERVAL 12 MONTH AS DATE) AS ends FROM orders WHERE o_orderkey % 40 <> 0),
+loss AS (
+  SELECT o_orderkey AS loss_id, o_custkey AS insured, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 501 AS INTEGER) AS day FROM orders)"""
+_IN_FORCE = f"""{_IN_TERMS}
+SELECT loss_id, policy_number, CAST(day - starts AS INTEGER) AS days_in FROM loss JOIN term USING (insured)
+WHERE starts <= day AND day < ends"""
+_NEWEST_TERM = f"""{_IN_TERMS}, placed AS (
+  SELECT loss_id, policy_number, starts, row_number() OVER (PARTITION BY loss_id ORDER BY starts DESC, ends DESC, policy_number DESC) AS place
+  FROM loss JOIN term USING (insured) WHERE starts <= day)
+SELECT loss_id, policy_number, strftime(starts, '%Y-%m-%d') AS starts
+FROM loss LEFT JOIN (SELECT * FROM placed WHERE place = 1) USING (loss_id)"""
+_COVER = f"""{_IN_TERMS}, edge AS (
+  SELECT *, max(ends) OVER (PARTITION BY insured ORDER BY starts, ends ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM term),
+part AS (
+  SELECT *, sum(CASE WHEN starts <= reach THEN 0 ELSE 1 END) OVER (
+    PARTITION BY insured ORDER BY starts, ends ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n FROM edge),
+whole AS (
+  SELECT insured, n, min(starts) AS b, max(ends) AS e, count(*) AS term_count, sum(ends - starts) AS term_days FROM part GROUP BY insured, n)
+SELECT 'Customer ' || insured AS insured, strftime(b, '%Y-%m-%d') AS cover_starts, strftime(e, '%Y-%m-%d') AS cover_ends, term_count,
+       CAST(e - b AS BIGINT) AS covered_days, CAST(term_days - (e - b) AS BIGINT) AS overlap_days,
+       CAST(b - lag(e) OVER (PARTITION BY insured ORDER BY n) AS INTEGER) AS gap_days FROM whole"""
+
+
+def _odd(rules: str) -> str:
+    """Shapes 3 and 7 are no JSON, 4 has no response, 6 has a number as its content."""
+    answer = """'{"policy":{"policy_number":"PN-' || doc_id || '","carrier":"' || sha256(text) || '"}}'"""
+    number = """'{"choices":[{"finish_reason":"stop","message":{"content":NaN}}],"usage":{"completion_tokens":9}}'"""
+    if rules == "v1":
+        content, message = "CASE WHEN k = 6 THEN 'NaN' END", _text("'float' object has no attribute 'strip'")
+    else:
+        content, message = "NULL", f"'Unable to extract text content from model response: ' || {number}"
+    return f"""WITH {_DOCS}, odd AS (SELECT *, doc_id % 8 AS k, {answer} AS answer FROM docs)
+SELECT file_path, CASE WHEN k IN (0, 1, 2, 5) THEN 'SUCCESS' ELSE 'FAILED' END AS extraction_status,
+       {"k = 5" if rules == "v1" else "FALSE"} AS was_truncated,
+       md5(CASE WHEN k IN (0, 1, 2, 5) THEN answer END) AS model_output_json,
+       md5(CASE WHEN k IN (0, 1, 2, 5) THEN answer ELSE {content} END) AS raw_model_response,
+       md5(CASE k WHEN 3 THEN 'stored response is not valid JSON' WHEN 7 THEN 'stored response is not valid JSON'
+                  WHEN 4 THEN 'no capacity' WHEN 6 THEN {message} END) AS error_message
+FROM odd"""
+
+
 def _listing(tail: str) -> str:
     return f"""WITH listed AS (
   SELECT 'doc_' || doc_id || (['.pdf', '.PDF', '.Pdf', '.txt'])[doc_id % 4 + 1] AS file_name, source, n_chars AS length
@@ -401,6 +465,7 @@ FROM (SELECT *, doc_id % 50 <> 49 AS good FROM whole)"""
         "file_listing_capped": _listing(f"ORDER BY file_path LIMIT {LISTED}"),
         "page_text_arrays": pages,
         "page_text_pages": pages,
+        "page_text_arrivals": pages,
         "variant_documents": f"""WITH {_ELEMENTS}
 SELECT file_name, file_path, page_count, md5(policy_text) AS policy_text, extraction_status,
        CASE WHEN error_message LIKE '%Expecting value%' THEN {_text("No text-like content returned by ai_parse_document")}
@@ -440,6 +505,8 @@ SELECT file_path, part_no, input_tokens, output_tokens, '{MODEL}' AS model_used,
         "mock_run": _MOCK_RUN,
         "response_status_v1": _status("v1"),
         "response_status_v2": _status("v2"),
+        "response_text_v1": _odd("v1"),
+        "response_text_v2": _odd("v2"),
         "truncation_report": _truncation(),
         "repaired_coverages": _coverages("v1", "yield = 'first'"),
         "policy_summary": _policies("v1"),
@@ -455,6 +522,8 @@ SELECT file_path, part_no, input_tokens, output_tokens, '{MODEL}' AS model_used,
         "file_options": _DASHBOARD + "SELECT file_name FROM view ORDER BY file_name",
         "dashboard_for_file": _DASHBOARD + f"SELECT * FROM view WHERE file_name = '{CHOSEN_FILE}'",
         "coverage_detail": _COVERAGE_DETAIL,
+        "saved_dashboard": _DASHBOARD + "SELECT * FROM view",
+        "saved_coverage_detail": _COVERAGE_DETAIL,
         "usage_log": f"WITH {_LOG} SELECT * FROM log",
         "usage_rollup": _ROLLUP,
         "contract_violations": _FINDINGS,
@@ -467,5 +536,10 @@ SELECT file_path, part_no, input_tokens, output_tokens, '{MODEL}' AS model_used,
         "policy_term_check": _TERMS,
         "page_reference_check": _PAGE_CHECK,
         "policy_enums": _ENUMS,
+        "losses_in_force": _IN_FORCE,
+        "newest_term_of_loss": _NEWEST_TERM,
+        "unbroken_cover": _COVER,
+        "run_difference": _RUNS + " SELECT * FROM judged WHERE added > 0 OR removed > 0",
+        "run_changes": _RUN_CHANGES,
         "variant_compare": _COMPARE,
     }

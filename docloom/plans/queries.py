@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from docloom.operators import compare, contracts, dashboard, entities, normalize, pages, requests, responses, usage
+from docloom.operators import compare, contracts, dashboard, entities, normalize, pages, requests, responses, terms, usage
 from docloom.operators.completion import complete, complete_mock, complete_replay
 from docloom.operators.element_stream import assemble_element_stream
 from docloom.operators.elements import assemble_elements
 from docloom.plans import corpus, retry
 from docloom.plans.runs import RunOptions
 from docloom.session import stage, staging_path
+from docloom.sources.arrivals import first_arrivals, take_arrivals
 from docloom.sources.files import list_documents, parsed_json
 from docloom.sources.manifest import file_changes
+from docloom.sources.tables import save_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +75,18 @@ def page_text_pages(spark, sf_dir):
     return pages.assemble_pages(corpus.page_table(spark, sf_dir))
 
 
+@_query
+def page_text_arrivals(spark, sf_dir):
+    """The page table sent in files, a fifth of the documents twice, taken by a stream in several batches."""
+    arriving, saved, progress = (staging_path(spark, name) for name in ("arriving", "arrived", "arrivals-progress"))
+    sent = corpus.page_table(spark, sf_dir)
+    again = F.regexp_extract("file_name", "[0-9]+", 0).cast("long") % 5 == 0
+    sent.write.parquet(arriving)
+    sent.filter(again).write.mode("append").parquet(arriving)
+    take_arrivals(spark, arriving, sent.schema, saved, progress, files_at_once=16)
+    return pages.assemble_pages(first_arrivals(spark.read.parquet(saved)))
+
+
 @_query
 def page_text_elements(spark, sf_dir):
     return assemble_elements(corpus.parsed_documents(spark, sf_dir))
@@ -248,6 +263,23 @@ def response_status_v2(spark, sf_dir):
     return _status(spark, sf_dir, "v2")
 
 
+def _response_text(spark, sf_dir, rules):
+    cleaned = responses.clean_responses(corpus.odd_responses(spark, sf_dir), MODEL, RUN_TIME, rules)
+    hashed = [F.md5(c).alias(c) for c in ("model_output_json", "raw_model_response", "error_message")]
+    return cleaned.select("file_path", "extraction_status", "was_truncated", *hashed)
+
+
+@_query
+def response_text_v1(spark, sf_dir):
+    """Responses that only Python's JSON rules settle, with output, content and message hashed."""
+    return _response_text(spark, sf_dir, "v1")
+
+
+@_query
+def response_text_v2(spark, sf_dir):
+    return _response_text(spark, sf_dir, "v2")
+
+
 @_query
 def truncation_report(spark, sf_dir):
     def counted(rules: str) -> DataFrame:
@@ -352,6 +384,28 @@ def coverage_detail(spark, sf_dir):
     return _flat_coverages(dashboard.coverage_detail(corpus.coverage_table(spark, sf_dir), CHOSEN_FILE))
 
 
+def _saved(spark, df: DataFrame, name: str) -> str:
+    """The name of a new saved table in the shared folder."""
+    unique = f"{name}_{uuid.uuid4().hex}"
+    save_table(df, unique, path=staging_path(spark, name))
+    return unique
+
+
+@_query
+def saved_dashboard(spark, sf_dir):
+    """The persistent view over saved tables."""
+    policies = _saved(spark, corpus.policy_table(spark, sf_dir), "policies")
+    coverage = _saved(spark, corpus.coverage_table(spark, sf_dir), "coverages")
+    return dashboard.create_dashboard_view(spark, f"dashboard_{uuid.uuid4().hex}", policies, coverage)
+
+
+@_query
+def saved_coverage_detail(spark, sf_dir):
+    """A saved table read back by a statement with the file as its parameter."""
+    coverage = _saved(spark, corpus.coverage_table(spark, sf_dir), "coverages")
+    return _flat_coverages(dashboard.coverage_detail_query(spark, coverage, CHOSEN_FILE))
+
+
 # Usage and contracts
 
 
@@ -448,6 +502,32 @@ def policy_enums(spark, sf_dir):
     )
 
 
+# Terms
+
+
+def _terms(spark, sf_dir):
+    return terms.read_terms(corpus.policy_table(spark, sf_dir))
+
+
+@_query
+def losses_in_force(spark, sf_dir):
+    """Each loss with each policy of the insured in force on its day."""
+    found = terms.in_force(corpus.dated_losses(spark, sf_dir), _terms(spark, sf_dir))
+    return found.select("loss_id", "policy_number", F.datediff("day", "starts").alias("days_in"))
+
+
+@_query
+def newest_term_of_loss(spark, sf_dir):
+    found = terms.newest_term(corpus.dated_losses(spark, sf_dir), _terms(spark, sf_dir))
+    return found.select("loss_id", "policy_number", F.date_format("starts", "yyyy-MM-dd").alias("starts"))
+
+
+@_query
+def unbroken_cover(spark, sf_dir):
+    found = terms.unbroken_cover(_terms(spark, sf_dir))
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("cover_starts", "cover_ends")})
+
+
 # Comparison
 
 
@@ -458,5 +538,21 @@ def variant_compare(spark, sf_dir):
     return compare.compare_files(compare.compare_coverages(first, second))
 
 
+def _run_difference(spark, sf_dir):
+    columns = [*compare.KEYS, "limit_amount"]
+    return compare.difference(corpus.coverage_table(spark, sf_dir), corpus.coverage_table_later(spark, sf_dir), columns)
+
+
+@_query
+def run_difference(spark, sf_dir):
+    """Coverages of two runs as multisets of whole rows."""
+    return _run_difference(spark, sf_dir).filter("added > 0 OR removed > 0")
+
+
+@_query
+def run_changes(spark, sf_dir):
+    return compare.changes(_run_difference(spark, sf_dir), ["file_path"])
+
+
 def all_queries() -> dict[str, Query]:
     return dict(_ALL)

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def save_table(df: DataFrame, name: str, fmt: str = "parquet", overwrite_schema: bool = True) -> DataFrame:
-    """Overwrite a table and return it as read back.
+def save_table(df: DataFrame, name: str, fmt: str = "parquet", overwrite_schema: bool = True, path: str | None = None) -> DataFrame:
+    """Overwrite a table, in ``path`` if that is given, and return it as read back.
 
     Parquet tables take a changed schema on overwrite; Delta needs the option for it.
     """
     writer = df.write.format(fmt).mode("overwrite")
     if overwrite_schema:
         writer = writer.option("overwriteSchema", "true")
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 

@@ -13,8 +13,10 @@ SF_DIR = "/root/testdata/sf0.001"
 JSON_JUDGES = {
     "page_text_elements", "document_status", "replay_run", "response_status_v1", "response_status_v2", "truncation_report",
     "repaired_coverages", "policy_summary", "policy_summary_v2", "coverages", "coverages_v2", "exposures", "confidence_bands",
-    "variant_compare",
+    "variant_compare", "response_text_v1", "response_text_v2", "reported_usage",
 }
+# Windows over numbers of pages, or over one row for each insured and day.
+WINDOWS = {"request_variants", "request_parts_pages", "newest_term_of_loss", "unbroken_cover"}
 
 
 @pytest.mark.parametrize("name", sorted(all_queries()))
@@ -24,9 +26,10 @@ def test_plan(spark, name):
         assert (
             operator not in plan
             or (operator == "SinglePartition" and name in ("output_count", "normalization_report"))
-            or (operator == "Window" and name in ("request_variants", "request_parts_pages"))  # numbers of pages only
+            or (operator == "Window" and name in WINDOWS)
         )
-    assert len(re.findall("ArrowEvalPython", plan)) <= (2 if name in ("truncation_report", "variant_compare") else 1)
+    # One stage for envelopes and one for contents that Spark's parser turns down.
+    assert len(re.findall("ArrowEvalPython", plan)) <= (4 if name in ("truncation_report", "variant_compare") else 2)
     assert ("ArrowEvalPython" in plan) == (name in JSON_JUDGES | {"completion_run", "policy_of_parts", "variant_documents"})
 
 
