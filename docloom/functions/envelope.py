@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, BooleanType, StringType, StructType
 
-from docloom.functions.jsontext import probe_json, probed_value
+from docloom.functions.jsontext import SPARK_BYTES, probe_json, probed_value
 
 # Characters from which on a text is cut down to what is read of it, and from which on a string in it is set aside.
 LONGEST, ASIDE = 16 << 20, 1 << 16
@@ -70,7 +70,7 @@ def read_envelopes(rows: DataFrame, text: str, kept: tuple[str, ...], longest: i
         return pd.DataFrame(forms, columns=_READ.names)
 
     own = [c for c in rows.columns if c not in ("doc", *_READ.names)]
-    probed = rows.select(*own, probe_json(F.col(text)).alias("probe"))
+    probed = rows.select(*own, F.when(F.octet_length(text) <= SPARK_BYTES, probe_json(F.col(text))).alias("probe"))
     judged = probed.select(*own, probed_value(F.col("probe"), F.col(text)).alias("first"))
     # Not deterministic, so that filters stay above it and the call is made once.
     second = judged.withColumn("second", read.asNondeterministic()(F.when(F.col("first").isNull(), F.col(text))))

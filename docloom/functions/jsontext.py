@@ -16,6 +16,9 @@ from pyspark.sql.types import BooleanType, StringType, StructType
 
 from docloom.functions.text import WHITESPACE, outer_braces
 
+# Bytes up to which Spark's parser is asked; longer texts are Python's to judge. A VARIANT holds at most 128 MiB.
+SPARK_BYTES = 64 << 20
+
 _MARK = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 _CLOSER = {"{": "}", "[": "]"}
 _TAIL = ",:" + WHITESPACE
@@ -120,7 +123,7 @@ def clean_json(text: Column) -> Column:
     """
     braces = outer_braces(text)
     sliceable = ~text.startswith("[") & ~text.startswith('"') & strict_json(braces)
-    return F.when(strict_json(text), text).when(sliceable, braces)
+    return F.when(F.octet_length(text) <= SPARK_BYTES, F.when(strict_json(text), text).when(sliceable, braces))
 
 
 def settle_json(text: Column, truncated: Column, reserialise: bool) -> Column:

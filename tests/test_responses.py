@@ -5,7 +5,7 @@ import json
 import pytest
 
 from docloom.functions.envelope import plain_form
-from docloom.functions.jsontext import close_truncated
+from docloom.functions.jsontext import SPARK_BYTES, close_truncated
 from docloom.functions.text import ascii_json_length, drop_fences, strip
 from docloom.operators.responses import BAD_ENVELOPE, NO_TEXT, clean_responses, model_output
 from docloom.schemas import MODEL_OUTPUT, RESPONSES
@@ -234,8 +234,9 @@ def test_plain_form_sets_long_strings_aside():
 
 
 def test_response_beyond_a_variant(spark):
-    """A response of 140 MiB, in two parts, is cleaned like a small one."""
-    half = F.concat(F.lit('\\"'), F.repeat(F.lit("x"), 70 << 20))
+    """A response that Spark's parser is not asked about, in two parts, is cleaned like a small one."""
+    size = SPARK_BYTES // 2 + 1000
+    half = F.concat(F.lit('\\"'), F.repeat(F.lit("x"), size))
     part = lambda text: F.concat(F.lit('{"type":"text","text":"'), text, F.lit('"}'))
     whole = F.concat(
         F.lit('{"choices":[{"finish_reason":"stop","message":{"content":['), part(F.concat(F.lit('{\\"a\\":'), half, F.lit('\\"'))), F.lit(","),
@@ -249,4 +250,4 @@ def test_response_beyond_a_variant(spark):
         "extraction_status", F.length("model_output_json").alias("n"), F.substr("model_output_json", F.lit(1), F.lit(8)).alias("head"), "error_message"
     ).collect()
     assert found.error_message is None and found.extraction_status == "SUCCESS"
-    assert found.n == 2 * (70 << 20) + 16 and found.head == '{"a":"xx'
+    assert found.n == 2 * size + 16 and found.head == '{"a":"xx'
