@@ -280,23 +280,26 @@ def _verified(pairs: DataFrame, rows: DataFrame, texts: DataFrame, n: int, perce
     return stage(joined.select("a", "b", "grams_a", "grams_b").mapInArrow(similar, "a long, b long").distinct(), "links")
 
 
-def _star_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """For each posting, the pairs with the first and the last group of its n-gram, if of another component.
+def _star_pairs(postings: DataFrame, percent: int, central: bool) -> DataFrame:
+    """For each posting, pairs (a, b) of two ends of its n-gram, a, and its own group, b, if of another component.
 
-    Their number is that of the postings at most, whatever the number of groups that share an n-gram.
+    The ends are the groups of the first and the last component. ``central`` takes the group with the fewest rarer
+    n-grams in place of the first one: of near copies of one text that is the text, or the copy least changed, which is
+    similar to more of them than they are to each other. Pairs are as many as the postings, twice at most, whatever the
+    number of groups that share an n-gram.
     """
+    group = F.struct("comp", "gid", "n")
+    first = F.min_by(group, F.struct("pos", "comp", "gid")) if central else F.min(group)
     ends = stage(
-        postings.groupBy("ngram").agg(
-            F.min(F.struct("comp", "gid", "n")).alias("low"), F.max(F.struct("comp", "gid", "n")).alias("high")
-        ).filter(F.col("low.comp") < F.col("high.comp")),
+        postings.groupBy("ngram").agg(first.alias("one"), F.max(group).alias("other"), F.min("comp").alias("low"))
+        .filter(F.col("low") < F.col("other.comp")).select("ngram", "one", "other"),
         "ends",
     )
-    both = F.explode(F.array("low", "high")).alias("end")
+    both = F.explode(F.array("one", "other")).alias("end")
     return (
         postings.join(ends, "ngram").select("gid", "comp", "n", both)
         .filter((F.col("comp") != F.col("end.comp")) & _sizes_fit(F.col("n"), F.col("end.n"), percent))
-        .select(F.least("gid", "end.gid").alias("a"), F.greatest("gid", "end.gid").alias("b"))
-        .filter("a < b").distinct()
+        .select(F.col("end.gid").alias("a"), F.col("gid").alias("b")).distinct()
     )
 
 
@@ -390,7 +393,7 @@ def linked(documents: DataFrame, n: int, percent: int, id_col: str, text_col: st
     for number in range(STARS + 1):
         units = unit_postings()
         if number < STARS:
-            pairs = _star_pairs(units, percent)
+            pairs = _star_pairs(units, percent, central=number == 0)
             pairs = _close(pairs.union(inside) if number == 0 else pairs, nodes, wide, percent)
             pairs = pairs.groupBy("b").agg(F.min_by("a", F.struct("apart", "a")).alias("a")).select("a", "b")
         else:

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docloom.llm import quality, toxicity
+from docloom.llm import ngram_join as near_join, quality, toxicity
 from docloom.llm.components import components
 from docloom.llm.ngram_join import ngram_join
 from docloom.llm.packing import best_fit, best_pattern, pack, plan
@@ -126,6 +126,29 @@ def test_ngram_join(spark, n, percent):
     assert ngram_join(frame(spark, [])).count() == 0
 
 
+def test_near_copies_meet_the_text_they_were_made_from(spark, monkeypatch):
+    """Copies with two changes each are similar to their text, and not to each other: they must not all be paired."""
+    rnd = np.random.default_rng(8)
+    base = [f"w{k}" for k in rnd.integers(0, 90_000, 182)]
+    rows = [(500, " ".join(base))]
+    for i in range(120):
+        words = [*base]
+        for k, at in enumerate(rnd.choice(np.arange(5, 175, 10), 2, replace=False)):
+            words[at] = f"own{i}x{k}"
+        rows.append((i, " ".join(words)))
+    made, plain = [], near_join._cross_pairs
+
+    def counted(*args):
+        pairs = plain(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(near_join, "_cross_pairs", counted)
+    found = near_join.ngram_join(frame(spark, rows), n=3, percent=90).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 121
+    assert len(made) == 1 and made[0] <= 121
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(1, 60)] + [(200 + i, 200) for i in range(1, 50)] + [(300, 300)]
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
