@@ -8,8 +8,10 @@ its sequence by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,12 @@ class ByteBpe:
     """Ids as the tokenizers library gives them for a byte-level file; it is asked once for each word it is given."""
 
     def __init__(self, path: str):
+        # A task has one core, also for words that are encoded together.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
         self.classes = latin_classes()
-        self.memory = Memory(self._word_ids)
+        # Padding would be to the longest word of a call.
+        self.memory = Memory(self._word_ids, make_all=self._all_word_ids if self.library.padding is None else None)
         added = added_tokens(self.library)
         self.cut = any_of(added) if added else None
 
@@ -43,6 +48,13 @@ class ByteBpe:
     def _word_ids(self, word: bytes) -> bytes:
         return self._ids(word.decode("latin-1")).tobytes()
 
+    def _all_word_ids(self, words: list[bytes]) -> list[bytes]:
+        found = self.library.encode_batch_fast([w.decode("latin-1") for w in words], add_special_tokens=False)
+        ids = [e.ids for e in found]
+        data = np.fromiter(chain.from_iterable(ids), dtype="<i4").tobytes()
+        ends = np.cumsum([0, *map(len, ids)]) * 4
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         marked = [i for i, text in enumerate(texts) if self.cut and self.cut.search(text)]
         plain = [*texts]

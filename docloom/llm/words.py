@@ -132,34 +132,70 @@ def cut_words(texts: list[bytes], classes: np.ndarray, spaced: bool) -> tuple[np
 
 
 class Memory(dict):
-    """What ``make`` gives for a word, for the last ``size`` to twice ``size`` different words.
+    """What ``make`` gives for a word, for the last ``size`` to twice ``size`` different words, and those of one call.
 
     When the newer half is full it becomes the older one; a word found there moves on. So frequent words stay.
+    ``make_all``, where given, makes the values of many new words in one call.
     """
 
-    def __init__(self, make: Callable, size: int = 200_000):
+    def __init__(self, make: Callable, size: int = 200_000, make_all: Callable[[list], list] | None = None):
         super().__init__()
-        self.make, self.size, self.older = make, size, {}
+        self.make, self.size, self.make_all, self.older = make, size, make_all, {}
+
+    def all(self, words: list) -> list:
+        """The values of different words."""
+        values = list(map(self.get, words))
+        at = [i for i, value in enumerate(values) if value is None]
+        if not at:
+            return values
+        missed = [words[i] for i in at]
+        found = list(map(self.older.get, missed))
+        new = [word for word, value in zip(missed, found) if value is None]
+        made = iter(self.make_all(new) if self.make_all else map(self.make, new))
+        found = [next(made) if value is None else value for value in found]
+        self._make_room()
+        self.update(zip(missed, found))
+        for i, value in zip(at, found):
+            values[i] = value
+        return values
+
+    def _make_room(self) -> None:
+        if len(self) >= self.size:
+            self.older = dict(self)
+            self.clear()
 
     def __missing__(self, word):
         value = self.older.get(word)
         if value is None:
             value = self.make(word)
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
+        self._make_room()
         self[word] = value
         return value
 
 
+def _one_of_each(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where some occurrence of each different hash stands, and for each hash the number of its value.
+
+    ``np.unique`` looks for the first occurrence, which takes a slower, stable sort.
+    """
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    new = np.empty(len(hashes), dtype=bool)
+    new[:1] = True
+    np.not_equal(ranked[1:], ranked[:-1], out=new[1:])
+    which = np.empty(len(hashes), dtype=np.int64)
+    which[order] = np.cumsum(new) - 1
+    return order[new], which
+
+
 def word_ids(texts: list[bytes], classes: np.ndarray, spaced: bool, memory: Memory) -> list[np.ndarray]:
     """The ids of each Latin-1 text; ``memory`` gives those of a word as bytes. Equal words are looked up once."""
     data, starts, ends, owner = cut_words(texts, classes, spaced)
     if not len(starts):
         return [np.zeros(0, dtype="<i4") for _ in texts]
-    _, firsts, which = np.unique(run_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    firsts, which = _one_of_each(run_hashes(data, starts, ends))
     raw = data.tobytes()
-    found = [memory[raw[a:b]] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist())]
+    found = memory.all([raw[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist())])
     sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
     values = np.frombuffer(b"".join(found), dtype="<i4")
     offsets = np.cumsum(sizes) - sizes
