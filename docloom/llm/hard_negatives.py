@@ -3,11 +3,15 @@
 Candidates are written as Parquet in the order of a Hilbert curve and cut into blocks; the zone map of a block holds the
 smallest and largest component of every dimension, and its labels. Interval arithmetic on a zone map bounds the scores
 of the whole block, and an anchor reads the blocks whose bounds meet one of its windows.
+
+Which anchor reads which block is many rows in few bytes of Parquet, by whose size Spark would choose what to broadcast.
+Joins are therefore merged, so that the driver holds no table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,14 +23,64 @@ from docloom.llm.topk import exact_products
 from docloom.llm.vectors import largest, matrix, over_grid, usable
 from docloom.session import stage
 
-# Rows of a block, anchors that read it together, and anchors whose scores are held at once.
-ROWS, ANCHORS, TOGETHER = 1024, 1024, 128
+# Rows of a block, blocks of a shelf, anchors that meet it together, anchors whose scores are held at once, and the
+# cells of shelves and anchors that a small table still makes.
+ROWS, SHELF, ANCHORS, TOGETHER, CELLS = 1024, 8, 8192, 128, 32
 # Dimensions of the curve and bits of each; the widest ones are taken.
 CURVE_DIMS, CURVE_BITS = 8, 5
 BEGIN, END = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+ALIKE = "anchor_id long, positive_id long, score long"
 FOUND = "anchor_id long, positive_id long, negative_id long, positive_score long, negative_score long"
 
 
+def _joined(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join of which neither side is broadcast: a small file can hold a large table."""
+    return left.join(right.hint("merge"), on, how)
+
+
+def _whole(rows: DataFrame, scale: int) -> DataFrame:
+    """``rows`` (id, label, vec) with floor(scale * x) for each component x, as doubles of at most the largest one."""
+    most = np.finfo(float).max
+
+    def floored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("vec")
+            with np.errstate(over="ignore"):
+                x = np.floor(np.clip(lists.flatten().to_numpy(zero_copy_only=False) * float(scale), -most, most))
+            offsets = np.asarray(lists.offsets)
+            vec = pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(x, pa.float64()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), vec], names=["id", "label", "vec"])
+
+    return rows.select("id", "label", "vec").mapInArrow(floored, "id long, label long, vec array<double>")
+
+
+class Packing(NamedTuple):
+    """Vectors as bytes: whole numbers of ``kind``, ``width`` of them."""
+
+    width: int
+    kind: str
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> Packing:
+        """The narrowest kind that holds all components of the arrays ``vec``."""
+        size, most = rows.agg(F.max(F.size("vec")), F.max(F.array_max(F.transform("vec", F.abs)))).first()
+        return cls(size or 1, next((k for k, bits in (("<i2", 15), ("<i4", 31)) if (most or 0) < 2.0**bits), "<f8"))
+
+    def pack(self, x: np.ndarray) -> pa.Array:
+        data = pa.py_buffer(np.ascontiguousarray(x.astype(self.kind)))
+        bytes_each = self.width * np.dtype(self.kind).itemsize
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(bytes_each), len(x), [None, data]).cast(pa.binary())
+
+    def matrix(self, packed: pa.ChunkedArray | pa.Array) -> np.ndarray:
+        """Vectors as rows of doubles."""
+        found = (packed.combine_chunks() if isinstance(packed, pa.ChunkedArray) else packed).cast(pa.binary())
+        if not len(found):
+            return np.zeros((0, self.width))
+        start = np.frombuffer(found.buffers()[1], np.int32)[found.offset]
+        values = np.frombuffer(found.buffers()[2], self.kind, len(found) * self.width, start)
+        return values.reshape(len(found), self.width).astype(float)
+
+
 def hilbert(levels: np.ndarray, bits: int) -> np.ndarray:
     """The place of each row of whole coordinates (0 to 2^bits - 1) on the Hilbert curve through their cube."""
     x = levels.astype(np.int64).T.copy()
@@ -71,18 +125,23 @@ def _spreads(rows: DataFrame, width: int) -> list[tuple[int, float, float]]:
     return [(r.dim, r.mean, r.spread) for r in widest]
 
 
-def _blocks(rows: DataFrame, width: int) -> DataFrame:
-    """``rows`` (id, label, vec) written in Hilbert order, with ``block``; none has more than ``ROWS``."""
+def _blocks(rows: DataFrame, packing: Packing) -> DataFrame:
+    """``rows`` (id, label, vec) packed and written in Hilbert order, with ``block``; none has more than ``ROWS``."""
+    width = packing.width
     spreads = _spreads(rows, width)
 
     def on_curve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.arcsinh(matrix(pa.chunked_array([batch.column("vec")]), width))
+            whole = matrix(pa.chunked_array([batch.column("vec")]), width)
+            x = np.arcsinh(whole)
             levels = np.zeros((len(x), CURVE_DIMS))
             for at, (dim, mean, spread) in enumerate(spreads):
                 levels[:, at] = (x[:, dim] - mean) / (spread or 1.0) * 2 ** (CURVE_BITS - 2) + 2 ** (CURVE_BITS - 1)
             place = hilbert(np.clip(levels, 0, 2**CURVE_BITS - 1), CURVE_BITS)
-            yield batch.append_column("curve", pa.array(place, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("label"), packing.pack(whole), pa.array(place, pa.int64())],
+                names=["id", "label", "vec", "curve"],
+            )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, at = TaskContext.get().partitionId() << 32, 0
@@ -91,19 +150,19 @@ def _blocks(rows: DataFrame, width: int) -> DataFrame:
             at += batch.num_rows
             yield batch.append_column("block", pa.array(number, pa.int64()))
 
-    schema = "id long, label long, vec array<double>, curve long"
+    schema = "id long, label long, vec binary, curve long"
     placed = stage(rows.mapInArrow(on_curve, schema), "on-curve")
     ordered = placed.repartitionByRange(blocks_of(placed.count(), 8 * ROWS, 8), "curve", "id").sortWithinPartitions("curve", "id")
     return stage(ordered.mapInArrow(cut, schema + ", block long").drop("curve"), "blocks")
 
 
-def _zones(blocks: DataFrame, width: int) -> DataFrame:
+def _zones(blocks: DataFrame, packing: Packing) -> DataFrame:
     """For each block the smallest and largest whole component of each dimension, and its labels."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             number, labels = (batch.column(c).to_numpy() for c in ("block", "label"))
-            x = np.floor(matrix(pa.chunked_array([batch.column("vec")]), width))
+            x = packing.matrix(batch.column("vec"))
             for block in np.unique(number):
                 mine = number == block
                 yield pa.RecordBatch.from_pylist([{
@@ -115,7 +174,8 @@ def _zones(blocks: DataFrame, width: int) -> DataFrame:
     parts = blocks.mapInArrow(partial, "block long, low array<double>, high array<double>, labels array<long>")
 
     def merged(whole: pa.Table) -> pa.Table:
-        low, high = matrix(whole.column("low"), width).min(axis=0), matrix(whole.column("high"), width).max(axis=0)
+        low, high = (matrix(whole.column(c), packing.width) for c in ("low", "high"))
+        low, high = low.min(axis=0), high.max(axis=0)
         labels = np.unique(whole.column("labels").combine_chunks().flatten())
         return pa.Table.from_pylist([{
             "block": whole.column("block")[0].as_py(), "low": low.tolist(), "high": high.tolist(), "labels": labels.tolist()
@@ -124,73 +184,104 @@ def _zones(blocks: DataFrame, width: int) -> DataFrame:
     return parts.groupBy("block").applyInArrow(merged, "block long, low array<double>, high array<double>, labels array<long>")
 
 
-def _meeting(zones: DataFrame, asked: DataFrame, width: int, same: bool) -> DataFrame:
-    """``block`` and ``anchor_id`` where a score of the block can lie in a window of the anchor.
+def _meeting(zones: DataFrame, asked: DataFrame, packing: Packing, same: bool) -> DataFrame:
+    """``asked`` for each ``shelf`` of blocks with ``reads``, whose bits are the blocks of the shelf that an anchor reads.
 
-    ``asked`` has arrays ``lows`` and ``highs`` of the windows' ends. Blocks of one label are left out where the label
-    rules them out. Bounds are widened by what rounding can take from them.
+    A block is read where a score of it can lie in a window of the anchor; ``asked`` has arrays ``lows`` and ``highs``
+    of the windows' ends. Blocks of one label are left out where the label rules them out. Bounds are widened by what
+    rounding can take from them.
     """
 
     def cell(rows: pa.Table, anchors: pa.Table) -> pa.Table:
-        low, high = matrix(rows.column("low"), width), matrix(rows.column("high"), width)
+        rows = rows.sort_by("block")
+        low, high = matrix(rows.column("low"), packing.width), matrix(rows.column("high"), packing.width)
         far = np.maximum(np.abs(low), np.abs(high))
         blocks, ids = rows.column("block").to_numpy(), anchors.column("anchor_id").to_numpy()
+        shelves, first = np.unique(blocks // SHELF, return_index=True)
         has = [set(x) for x in rows.column("labels").to_pylist()]
-        fit = {
-            label: np.array([label in h if same else len(h) > 1 or label not in h for h in has], dtype=bool)
-            for label in set(anchors.column("label").to_pylist())
-        }
+        known, which = np.unique(anchors.column("label").to_numpy(), return_inverse=True)
+        fit = np.array(
+            [[x in h if same else len(h) > 1 or x not in h for h in has] for x in known.tolist()], dtype=bool
+        ).reshape(len(known), len(has))
         found = []
         for start in range(0, len(ids) if len(blocks) else 0, TOGETHER):
             some = anchors.slice(start, TOGETHER)
+            lows, highs = _windows(some)
             with np.errstate(over="ignore", invalid="ignore"):
-                a = np.floor(matrix(some.column("vec"), width))
+                a = packing.matrix(some.column("vec"))
                 up, down = np.maximum(a, 0), np.minimum(a, 0)
                 slack = 1 + 1e-9 * (np.abs(a) @ far.T)
                 most, least = up @ high.T + down @ low.T + slack, up @ low.T + down @ high.T - slack
-            for i, (label, lows, highs) in enumerate(zip(*(some.column(c).to_pylist() for c in ("label", "lows", "highs")))):
-                meets = np.zeros(len(blocks), dtype=bool)
-                for begin, end in zip(lows, highs):
-                    # Bounds that are no numbers rule nothing out, and scores beyond a long count as its ends.
-                    reach = begin == BEGIN or ~(most[i] < float(begin))
-                    meets |= reach & (end == END or ~(least[i] > float(end)))
-                at = np.flatnonzero(meets & fit[label])
-                found.append((np.full(len(at), ids[start + i]), blocks[at]))
-        anchor, block = (np.concatenate(x) for x in zip(*found)) if found else [np.zeros(0, dtype=np.int64)] * 2
-        return pa.table({"anchor_id": pa.array(anchor, pa.int64()), "block": pa.array(block, pa.int64())})
-
-    # Both are counted before they are met, and the pairs are read twice.
-    return stage(over_grid(zones, stage(asked, "windows"), "block", "anchor_id", cell, "anchor_id long, block long"), "to-read")
+            meets = np.zeros(most.shape, dtype=bool)
+            for begin, end in zip(lows.T[:, :, None], highs.T[:, :, None]):
+                # Bounds that are no numbers rule nothing out, and scores beyond a long count as its ends.
+                reach = (begin == BEGIN) | ~(most < begin.astype(float))
+                meets |= reach & ((end == END) | ~(least > end.astype(float))) & (begin <= end)
+            meets &= fit[which[start : start + TOGETHER]]
+            reads = np.add.reduceat(meets * (1 << blocks % SHELF), first, axis=1)
+            anchor, shelf = np.nonzero(reads)
+            found.append((ids[start + anchor], shelves[shelf], reads[anchor, shelf]))
+        return _table(found, ("anchor_id", "shelf", "reads"))
+
+    # Both are counted before they are met, and what is read is read twice.
+    asked, shelved = stage(asked, "windows"), zones.withColumn("shelf", F.expr(f"block div {SHELF}"))
+    met = over_grid(shelved, asked, "shelf", "anchor_id", cell, "anchor_id long, shelf long, reads long")
+    return _joined(asked, stage(met, "to-read"), "anchor_id")
+
+
+def _windows(asked: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The ends of each anchor's windows, a row for each; missing windows hold nothing."""
+    lists = [asked.column(c).combine_chunks() for c in ("lows", "highs")]
+    sizes = np.diff(np.asarray(lists[0].offsets))
+    inside = np.arange(sizes.max(initial=0)) < sizes[:, None]
+    ends = np.full(inside.shape, END), np.full(inside.shape, BEGIN)
+    for end, values in zip(ends, lists):
+        end[inside] = values.flatten().to_numpy()
+    return ends
 
 
 def _read(blocks: DataFrame, asked: DataFrame, chunks: int, cell: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-    """``cell`` of each block with the anchors of ``asked`` that name it, dealt out to ``chunks``."""
+    """``cell`` of each shelf of blocks with the anchors of ``asked`` that read one of them, dealt out to ``chunks``."""
     dealt = asked.withColumn("chunk", F.pmod(F.xxhash64("anchor_id"), F.lit(chunks)))
-    wanted = dealt.select("block", "chunk").distinct()
+    wanted = dealt.groupBy("shelf", "chunk").agg(F.bit_or("reads").alias("wanted"))
+    shelved = blocks.withColumn("shelf", F.expr(f"block div {SHELF}"))
+    read = _joined(shelved, wanted, "shelf").filter(f"shiftright(wanted, cast(block % {SHELF} as int)) & 1 = 1").drop("wanted")
     # Both sides may come from the same table: new columns tell them apart.
-    left = blocks.join(wanted, "block").select(*[F.col(c).alias(c) for c in (*blocks.columns, "chunk")])
+    left = read.select(*[F.col(c).alias(c) for c in read.columns])
     right = dealt.select(*[F.col(c).alias(c) for c in dealt.columns])
-    return left.groupBy("block", "chunk").cogroup(right.groupBy("block", "chunk")).applyInArrow(cell, schema)
+    return left.groupBy("shelf", "chunk").cogroup(right.groupBy("shelf", "chunk")).applyInArrow(cell, schema)
 
 
 def _products(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Exact inner products; in double precision where no sum can reach 2^53."""
+    """Exact inner products; in single or double precision where no sum can reach 2^24 or 2^53."""
     most = np.abs(anchors).max(initial=0) * np.abs(rows).max(initial=0) * max(1, rows.shape[1])
+    if most < 2.0**24:
+        anchors, rows = anchors.astype(np.float32), rows.astype(np.float32)
     return (anchors @ rows.T).astype(np.int64) if most < 2.0**53 else exact_products(anchors, rows)
 
 
-def _scored(rows: pa.Table, anchors: pa.Table, width: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
-    """For each anchor its position, its label, and the ids, labels and scores of the block's rows, highest first, less its own."""
-    ids, labels = rows.column("id").to_numpy(), rows.column("label").to_numpy()
-    block = np.floor(matrix(rows.column("vec"), width))
-    for start in range(0, anchors.num_rows if len(ids) else 0, TOGETHER):
-        some = anchors.slice(start, TOGETHER)
-        scores = _products(np.floor(matrix(some.column("vec"), width)), block)
-        for i, (own, label) in enumerate(zip(some.column("anchor_id").to_pylist(), some.column("label").to_pylist())):
-            # ~x falls as x rises, and has no overflow.
-            order = np.lexsort((ids, ~scores[i]))
-            order = order[ids[order] != own]
-            yield start + i, label, ids[order], labels[order], scores[i][order]
+def _scored(rows: pa.Table, asked: pa.Table, packing: Packing) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each block, and some anchors that read it, their positions, the ids and labels of its rows by id, and the scores."""
+    ids, labels, number = (rows.column(c).to_numpy() for c in ("id", "label", "block"))
+    x, anchors, reads = packing.matrix(rows.column("vec")), packing.matrix(asked.column("vec")), asked.column("reads").to_numpy()
+    for block in np.unique(number):
+        mine = np.flatnonzero(number == block)
+        mine = mine[np.argsort(ids[mine])]
+        reading, own = np.flatnonzero(reads >> block % SHELF & 1), x[mine]
+        for start in range(0, len(reading), TOGETHER):
+            at = reading[start : start + TOGETHER]
+            yield at, ids[mine], labels[mine], _products(anchors[at], own)
+
+
+def _falling(row: np.ndarray, score: np.ndarray) -> np.ndarray:
+    """The order of entries that come row by row, the highest of each row first; equal ones stay in their order."""
+    # ~x falls as x rises, and has no overflow.
+    return np.lexsort((~score, row))
+
+
+def _foremost(row: np.ndarray, k: int) -> np.ndarray:
+    """Which entries are among the first ``k`` of their row; rows come one after the other."""
+    return np.arange(len(row)) - np.searchsorted(row, row) < k
 
 
 def windows_of(score: int, low: int, high: int) -> tuple[int, int]:
@@ -214,76 +305,94 @@ def mine_hard_negatives(
     The first look is at the anchor's own block and gives cutoffs; then only blocks are read whose bounds reach them.
     What bounds cannot rule out is read, so that no row is lost where they are wide.
     """
-    most = float(np.finfo(float).max)
-    scaled = lambda x: F.greatest(F.least(x * F.lit(float(scale)), F.lit(most)), F.lit(-most))
+    # Floats are half as wide until they are scaled, and in the same order.
+    kind = "array<float>" if dict(vectors.dtypes).get(vector_col) == "array<float>" else "array<double>"
     rows = vectors.select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),
-        F.col(vector_col).cast("array<double>").alias("vec"),
+        F.col(vector_col).cast(kind).alias("vec"),
     ).filter(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("vec")))
     one = rows.groupBy("id").agg(F.min(F.struct("label", "vec")).alias("row"))
-    live = stage(one.select("id", "row.label", F.transform("row.vec", scaled).alias("vec")), "labelled")
-    width = live.agg(F.max(F.size("vec"))).first()[0] or 1
-    blocks = _blocks(live, width)
-    zones = stage(_zones(blocks, width), "zones")
-    anchors = stage(blocks.filter(is_anchor(F.col("id"))).withColumnRenamed("id", "anchor_id"), "anchors")
-    chunks = blocks_of(anchors.count(), ANCHORS)
-
-    def alike(block: pa.Table, asked: pa.Table) -> pa.Table:
-        own, found = asked.column("anchor_id").to_pylist(), []
-        for i, label, ids, labels, scores in _scored(block, asked, width):
-            at = np.flatnonzero(labels == label)[:positives]
-            found += [(own[i], int(ids[j]), int(scores[j])) for j in at]
+    live = stage(_whole(one.select("id", "row.label", F.col("row.vec").cast("array<double>").alias("vec")), scale), "labelled")
+    packing = Packing.of(live)
+    blocks = _blocks(live, packing)
+    zones = stage(_zones(blocks, packing), "zones")
+    own = F.expr(f"block div {SHELF}").alias("shelf"), F.expr(f"shiftleft(1L, cast(block % {SHELF} as int))").alias("reads")
+    anchors = stage(blocks.filter(is_anchor(F.col("id"))).select(F.col("id").alias("anchor_id"), "label", "vec", *own), "anchors")
+    chunks = blocks_of(anchors.count(), ANCHORS, -(-CELLS // blocks_of(zones.count(), SHELF)))
+
+    def alike(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        names, mine, found = asked.column("anchor_id").to_numpy(), asked.column("label").to_numpy(), []
+        cuts = _windows(asked)[0]
+        for at, ids, labels, scores in _scored(rows, asked, packing):
+            i, j = np.nonzero(scores >= cuts[at])
+            fits = (labels[j] == mine[at[i]]) & (ids[j] != names[at[i]])
+            i, j = i[fits], j[fits]
+            order = _falling(i, scores[i, j])
+            best = order[_foremost(i, positives)]
+            found.append((names[at[i[best]]], ids[j[best]], scores[i[best], j[best]]))
         return _table(found, ("anchor_id", "positive_id", "score"))
 
-    def highest(asked: DataFrame) -> DataFrame:
-        scores = _read(blocks, asked, chunks, alike, "anchor_id long, positive_id long, score long")
-        return largest(scores, ["anchor_id"], "score", "positive_id", positives)
+    def highest(asked: DataFrame, parts: int) -> DataFrame:
+        return largest(_read(blocks, asked, parts, alike, ALIKE), ["anchor_id"], "score", "positive_id", positives)
 
-    first = highest(anchors).groupBy("anchor_id").agg(F.when(F.count(F.lit(1)) >= positives, F.min("score")).alias("cut"))
-    told = anchors.drop("block").join(first, "anchor_id", "left").select(
-        "anchor_id", "label", "vec", F.array(F.coalesce("cut", F.lit(int(BEGIN)))).alias("lows"), F.array(F.lit(int(END))).alias("highs")
+    everything = {"lows": F.array(F.lit(int(BEGIN))), "highs": F.array(F.lit(int(END)))}
+    first = highest(anchors.withColumns(everything), 1).groupBy("anchor_id").agg(
+        F.when(F.count(F.lit(1)) >= positives, F.min("score")).alias("cut")
     )
-    asking = anchors.drop("block").join(_meeting(zones, told, width, same=True), "anchor_id")
-    matched = stage(highest(asking).groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "score")).alias("pairs")), "positives")
-
-    def hard(block: pa.Table, asked: pa.Table) -> pa.Table:
-        own, pairs, found = asked.column("anchor_id").to_pylist(), asked.column("pairs").to_pylist(), []
-        for i, label, ids, labels, scores in _scored(block, asked, width):
-            other = labels != label
-            ids, scores = ids[other], scores[other]
-            for pair in pairs[i]:
-                begin, end = windows_of(pair["score"], low, high)
-                start = np.searchsorted(~scores, ~end) if BEGIN <= end <= END else len(scores)
-                at = range(int(start), min(int(start) + negatives, len(scores)))
-                found += [
-                    (own[i], pair["positive_id"], int(ids[j]), pair["score"], int(scores[j])) for j in at if scores[j] >= begin
-                ]
-        return _table(found, ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"))
+    told = _joined(anchors.drop("shelf", "reads"), first, "anchor_id", "left").withColumns(
+        everything | {"lows": F.array(F.coalesce("cut", F.lit(int(BEGIN))))}
+    ).drop("cut")
+    matched = highest(_meeting(zones, told, packing, same=True), chunks).select("anchor_id", "positive_id", "score")
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = [windows_of(score, low, high) for score in batch.column("score").to_pylist()]
+            held = pa.array([begin <= end and begin <= END and end >= BEGIN for begin, end in ends], pa.bool_())
+            begins, tails = (pa.array([min(max(x[side], int(BEGIN)), int(END)) for x in ends], pa.int64()) for side in (0, 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, begins, tails], names=[*group, "begin", "end"]).filter(held)
 
-    with_pairs = anchors.join(matched, "anchor_id")
     group = ["anchor_id", "positive_id", "positive_score"]
-    near = largest(_read(blocks, with_pairs, chunks, hard, FOUND), group, "negative_score", "negative_id", negatives)
+    pairs = stage(matched.mapInArrow(windows, ", ".join(f"{c} long" for c in (*group, "begin", "end"))), "positives")
+
+    def hard(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        names, mine, found = asked.column("anchor_id").to_numpy(), asked.column("label").to_numpy(), []
+        lows, highs = _windows(asked)
+        chosen, own_scores = (asked.column(c).combine_chunks().flatten().to_numpy() for c in ("positives", "scores"))
+        first_of = _starts(asked)
+        for at, ids, labels, scores in _scored(rows, asked, packing):
+            begin, end = lows[at], highs[at]
+            i, j = np.nonzero((scores >= begin.min(axis=1, keepdims=True)) & (scores <= end.max(axis=1, keepdims=True)))
+            other = labels[j] != mine[at[i]]
+            i, j = i[other], j[other]
+            order = _falling(i, scores[i, j])
+            i, j = i[order], j[order]
+            score = scores[i, j]
+            for window in range(lows.shape[1]):
+                inside = np.flatnonzero((score >= begin[i, window]) & (score <= end[i, window]))
+                best = inside[_foremost(i[inside], negatives)]
+                pair = first_of[at[i[best]]] + window
+                found.append((names[at[i[best]]], chosen[pair], ids[j[best]], own_scores[pair], score[best]))
+        return _table(found, ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score"))
+
+    def with_windows(each: DataFrame) -> DataFrame:
+        paired = each.groupBy("anchor_id").agg(F.collect_list(F.struct("positive_id", "positive_score", "begin", "end")).alias("each"))
+        named = {"positives": "positive_id", "scores": "positive_score", "lows": "begin", "highs": "end"}
+        return _joined(anchors, paired, "anchor_id").select(*anchors.columns, *[F.col(f"each.{c}").alias(n) for n, c in named.items()])
+
+    near = largest(_read(blocks, with_windows(pairs), 1, hard, FOUND), group, "negative_score", "negative_id", negatives)
     cuts = near.groupBy(*group).agg(F.when(F.count(F.lit(1)) >= negatives, F.min("negative_score")).alias("cut"))
-    each = with_pairs.select("anchor_id", F.inline("pairs")).withColumnRenamed("score", "positive_score")
-    # Whole numbers of 38 digits hold the products.
-    part = lambda percent: F.col("positive_score").cast("decimal(25,0)") * percent / 100
-    ends = each.join(cuts, group, "left").select(
-        "anchor_id", F.greatest(F.ceil(part(low)).cast("long"), F.coalesce("cut", F.lit(int(BEGIN)))).alias("begin"),
-        F.floor(part(high)).cast("long").alias("end"),
-    ).filter("begin <= end")
-    asking = with_pairs.drop("block").join(_meeting(zones, _told(anchors, ends), width, same=False), "anchor_id")
+    narrowed = _joined(pairs, cuts, group, "left").withColumn("begin", F.greatest("begin", "cut"))
+    asking = _meeting(zones, with_windows(narrowed).drop("shelf", "reads"), packing, same=False)
     found = largest(_read(blocks, asking, chunks, hard, FOUND), group, "negative_score", "negative_id", negatives)
     return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
 
 
-def _told(anchors: DataFrame, ends: DataFrame) -> DataFrame:
-    """Anchors with the ends of their windows in pairs."""
-    paired = ends.groupBy("anchor_id").agg(F.collect_list(F.struct("begin", "end")).alias("ends"))
-    return anchors.drop("block").join(paired, "anchor_id").select(
-        "anchor_id", "label", "vec", F.col("ends.begin").alias("lows"), F.col("ends.end").alias("highs")
-    )
+def _starts(asked: pa.Table) -> np.ndarray:
+    """Where each anchor's windows start among those of all."""
+    offsets = np.asarray(asked.column("lows").combine_chunks().offsets)
+    return offsets[:-1] - offsets[:1]
 
 
-def _table(rows: list[tuple], names: tuple[str, ...]) -> pa.Table:
-    columns = list(zip(*rows)) or [()] * len(names)
+def _table(found: list[tuple[np.ndarray, ...]], names: tuple[str, ...]) -> pa.Table:
+    columns = [np.concatenate(x) for x in zip(*found)] or [np.zeros(0, dtype=np.int64)] * len(names)
     return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(names, columns)})

@@ -153,6 +153,35 @@ def test_hard_negatives(spark, monkeypatch, n, width, scale):
     assert sorted(tuple(r) for r in got.collect()) == plain_negatives(rows, width)
 
 
+def test_hard_negatives_broadcast_nothing(spark, monkeypatch):
+    """What is read is many rows in few bytes of Parquet: chosen by those bytes, it would all go to the driver.
+
+    Labels follow the vectors, so that an anchor's own block has no negatives and gives no cutoff.
+    """
+    for name, value in (("ROWS", 16), ("ANCHORS", 4), ("TOGETHER", 3)):
+        monkeypatch.setattr(hard_negatives, name, value)
+    plans, written = [], hard_negatives.stage
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(hard_negatives, "stage", lambda df, name: plan(df) or written(df, name))
+    rng = np.random.default_rng(3)
+    centres = 300 * (2 + rng.standard_normal((5, 4)))
+    rows = [(i, (centres[i % 5] + rng.standard_normal(4)).astype(np.float32).tolist(), i % 5) for i in range(300)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = mine_hard_negatives(table, lambda i: i % 50 == 0)
+    plan(got)
+    assert sorted(tuple(r) for r in got.collect()) == plain_negatives(rows, 4) != []
+    assert any("SortMergeJoin" in p for p in plans) and not any("BroadcastExchange" in p for p in plans)
+
+
+@pytest.mark.parametrize("most, kind", [(2**15 - 1, "<i2"), (2**15, "<i4"), (2**31 - 1, "<i4"), (2**31, "<f8"), (1e300, "<f8")])
+def test_packed_vectors(spark, most, kind):
+    rows = [[0.0, -float(most), 1.0], [float(most)], []]
+    packing = hard_negatives.Packing.of(spark.createDataFrame([(r,) for r in rows], "vec array<double>"))
+    plain = np.array([r + [0.0] * (3 - len(r)) for r in rows])
+    packed = packing.pack(plain)
+    assert packing == (3, kind) and (packing.matrix(packed) == plain).all() and (packing.matrix(packed[1:]) == plain[1:]).all()
+
+
 def test_hard_negatives_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert mine_hard_negatives(empty, lambda i: i % 50 == 0).count() == 0
